@@ -1,0 +1,36 @@
+"""Registered queries of the problems tagged llm, and the SQL that checks them."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tarnlog.llm import bpe, packing
+from tarnlog.runtime import table
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"))
+
+
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "context_sizes"))
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.fill_report(p8_containers(spark, sf_dir))
+
+
+def queries() -> dict[str, Query]:
+    return {
+        "p7_ids": p7_ids,
+        "p8_containers": p8_containers,
+        "p8_fill": p8_fill,
+    }
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
