@@ -5,13 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tarnlog.llm import bpe, packing
+from tarnlog.llm import bpe, packing, runs
 from tarnlog.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.pod_runs(table(spark, sf_dir, "log_events"), table(spark, sf_dir, "hosts"))
+    return found.select(F.col("seq").alias("pod"), F.col("first_id").alias("first_row_id"), F.col("last_id").alias("last_row_id"), "n_events", "duration_ms")
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"))
 
@@ -26,6 +32,7 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "p3_found": p3_found,
         "p7_ids": p7_ids,
         "p8_containers": p8_containers,
         "p8_fill": p8_fill,
