@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlog.llm import bpe, packing, runs
+from tarnlog.llm import bpe, packing, runs, truncation
 from tarnlog.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.verdicts(table(spark, sf_dir, "log_events")).select(F.col("id").alias("row_id"))
+
+
+def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = table(spark, sf_dir, "log_events")
+    return truncation.report(logs, truncation.verdicts(logs))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = runs.pod_runs(table(spark, sf_dir, "log_events"), table(spark, sf_dir, "hosts"))
     return found.select(F.col("seq").alias("pod"), F.col("first_id").alias("first_row_id"), F.col("last_id").alias("last_row_id"), "n_events", "duration_ms")
@@ -32,6 +41,8 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "p2_found": p2_found,
+        "p2_report": p2_report,
         "p3_found": p3_found,
         "p7_ids": p7_ids,
         "p8_containers": p8_containers,
