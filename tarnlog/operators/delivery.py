@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlog.functions.text import rstrip
+from tarnlog.functions.timefmt import ntz_ms
 from tarnlog.runtime import broadcast_if_small, ensure_checkpoint_dir
 
 #: Tasks over which the rows of one key are spread.
@@ -61,14 +62,14 @@ def narrow(scan: DataFrame, hosts: DataFrame) -> DataFrame:
     base = scan.select(
         "host",
         log_file_key().alias("log_file"),
-        F.date_trunc("millisecond", "timestamp").alias("ms"),
+        ntz_ms(F.col("timestamp")).alias("ms"),
         rstrip(F.col("message")).alias("body"),
         F.col("row_id").alias("ord"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.row_index").alias("pos"),
     )
     null = F.lit("\x00")
-    parts = [F.coalesce(F.col("machine"), null), F.col("log_file"), F.coalesce(F.unix_micros(F.col("ms").cast("timestamp")), F.lit(-1 << 62)), F.coalesce(F.col("body"), null)]
+    parts = [F.coalesce(F.col("machine"), null), F.col("log_file"), F.coalesce(F.col("ms"), F.lit(-1 << 62)), F.coalesce(F.col("body"), null)]
     keyed = with_machine(base, hosts)
     return keyed.select(F.xxhash64(*parts).alias("k1"), F.xxhash64(F.lit("second"), *reversed(parts)).alias("k2"), "ord", "path", "pos")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlog.operators import delivery
+from tarnlog.operators import delivery, stamps
 from tarnlog.runtime import table
 
 
@@ -18,6 +18,10 @@ def p4_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivery.without_repeats(table(spark, sf_dir, "log_events"), table(spark, sf_dir, "hosts"))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stamps.normalise(table(spark, sf_dir, "raw_stamps"), table(spark, sf_dir, "hosts"))
+
+
 _P4_KEY = r"""
 with names as (
   select lower(host) as name, lower(host) as machine from hosts
@@ -35,7 +39,7 @@ with names as (
 )
 """
 
-QUERIES = {"p4_found": p4_found, "p4_kept": p4_kept}
+QUERIES = {"p4_found": p4_found, "p4_kept": p4_kept, "p6_found": p6_found}
 
 ORACLE = {
     "p4_found": _P4_KEY + "select row_id from keyed where copy > 1",
