@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnlog.functions.timefmt import ntz_ms
 from tarnlog.llm.statements import masked, statements
 from tarnlog.operators import delivery
 
@@ -30,13 +31,9 @@ def same_statement(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b) | F.coalesce((short >= 6) & (F.startswith(a, b) | F.startswith(b, a)), F.lit(False))
 
 
-def _ms(ts: Column) -> Column:
-    return F.unix_millis(ts.cast("timestamp"))
-
-
 def collapse(events: DataFrame, least: int = 2, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """``seq, first_id, last_id, n_events, duration_ms`` of ``events(seq, ts, id, stmt)``."""
-    rows = events.where("seq is not null").withColumn("bucket", F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / bucket_seconds))
+    rows = events.where("seq is not null").withColumn("bucket", F.floor(ntz_ms(F.col("ts")) / (1000 * bucket_seconds)))
     inside = Window.partitionBy("seq", "bucket").orderBy(F.col("ts").asc_nulls_first(), "id")
     prev = F.lag("stmt").over(inside)
     start = F.when(F.row_number().over(inside) == 1, 1).when(same_statement(F.col("stmt"), prev), 0).otherwise(1)
@@ -58,7 +55,7 @@ def collapse(events: DataFrame, least: int = 2, bucket_seconds: int = BUCKET_SEC
         F.col("lo.id").alias("first_id"),
         F.col("hi.id").alias("last_id"),
         F.col("n").alias("n_events"),
-        (_ms(F.col("hi.ts")) - _ms(F.col("lo.ts"))).alias("duration_ms"),
+        (ntz_ms(F.col("hi.ts")) - ntz_ms(F.col("lo.ts"))).alias("duration_ms"),
     )
     across = Window.partitionBy("seq").orderBy(F.col("bucket").asc_nulls_first(), "run")
     joins = (F.lag("bucket").over(across).eqNullSafe(F.col("bucket")) == F.lit(False)) & same_statement(F.col("stmt_lo"), F.lag("stmt_hi").over(across))
