@@ -7,12 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlog.llm import bpe, packing, runs, truncation
+from tarnlog.llm import bpe, distinct, packing, runs, truncation
 from tarnlog.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct.distinct_traces(table(spark, sf_dir, "log_events"), table(spark, sf_dir, "hosts"))
+
+
+def p1_registers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct.trace_registers(table(spark, sf_dir, "log_events"), table(spark, sf_dir, "hosts"))
+
+
+def p1_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Estimate against exact count per day; ``holds`` says that the exact one is within bounds."""
+    logs, hosts = table(spark, sf_dir, "log_events"), table(spark, sf_dir, "hosts")
+    events = distinct.trace_events(logs, hosts)
+    exact = events.groupBy("day").agg(F.count_distinct("trace_id").alias("exact"))
+    days = distinct.merge(distinct.registers(events, ["day", "service_name", "host"], "trace_id"), ["day"])
+    return distinct.estimates(days, ["day"]).join(exact, "day").select("day", "exact", F.col("exact").between(F.col("low"), F.col("high")).alias("holds"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.verdicts(table(spark, sf_dir, "log_events")).select(F.col("id").alias("row_id"))
 
@@ -41,6 +58,9 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "p1_distinct": p1_distinct,
+        "p1_registers": p1_registers,
+        "p1_bounds": p1_bounds,
         "p2_found": p2_found,
         "p2_report": p2_report,
         "p3_found": p3_found,
@@ -50,5 +70,54 @@ def queries() -> dict[str, Query]:
     }
 
 
+#: The registers of day, service and host, built without Spark.
+_P1 = r"""
+with names as (
+  select lower(host) as name, lower(host) as machine from hosts union select lower(fqdn), lower(host) from hosts
+), ids as (
+  select strftime("timestamp", '%Y-%m-%d') as day, service_name, coalesce(n.machine, lower(l.host)) as host, trim(coalesce(trace_id, '')) as t
+  from log_events l left join names n on lower(l.host) = n.name
+), one as (
+  select day, service_name, host,
+    case when regexp_full_match(t, '[0-9A-Fa-f]{16}') then lpad(lower(t), 32, '0')
+         when regexp_full_match(t, '[0-9A-Fa-f]+') then lower(t) else t end as trace_id
+  from ids where t <> '' and lower(t) <> 'n/a'
+), hashed as (
+  select *, cast(concat('0x', substr(md5(trace_id), 1, 15)) as bigint) as h from one
+), registers as (
+  select day, service_name, host, cast(h & 16383 as integer) as register,
+    max(cast(47 - case when (h >> 14) = 0 then 0 else length(ltrim(bin(h >> 14), '0')) end as integer)) as rank
+  from hashed group by all
+)
+"""
+
+_P1_DISTINCT = (
+    _P1
+    + r"""
+, sets as (
+  select day, service_name, host, cast(grouping(day, service_name, host) as integer) as level, register, max(rank) as rank
+  from registers group by grouping sets
+    ((day, service_name, host, register), (day, service_name, register), (day, host, register), (service_name, host, register),
+     (day, register), (service_name, register), (host, register), (register))
+), sums as (
+  select day, service_name, host, level, 16384 - count(*) as empty, sum(pow(2.0, -rank)) as s from sets group by all
+), vals as (
+  select *, 0.7213 / (1 + 1.079 / 16384) * 16384.0 * 16384.0 / (s + empty) as raw from sums
+), est as (
+  select *, case when raw <= 2.5 * 16384 and empty > 0 then 16384 * ln(16384.0 / empty) else raw end as value from vals
+)
+select day, service_name, host, level, cast(round(value) as bigint) as n_distinct, 0.008125 as standard_error,
+  cast(floor(value * (1 - 3 * 0.008125)) as bigint) as low, cast(ceil(value * (1 + 3 * 0.008125)) as bigint) as high from est
+"""
+)
+
+#: Fill of the containers cannot be said in SQL; what must hold for any packing can.
+ORACLE = {
+    "p1_registers": _P1 + "select * from registers",
+    "p1_distinct": _P1_DISTINCT,
+    "p1_bounds": _P1 + "select day, count(distinct trace_id) as exact, true as holds from one group by day",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
