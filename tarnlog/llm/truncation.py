@@ -54,18 +54,11 @@ _IDS = [
     (r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", "U"),
     (r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b", "A"),
     (r"\b0x[0-9a-f]+", "X"),
-    (r"\b(?=[a-f]*[0-9])[0-9a-f]{64}\b", "H64"),
-    (r"\b(?=[a-f]*[0-9])[0-9a-f]{40}\b", "H40"),
-    (r"\b(?=[a-f]*[0-9])[0-9a-f]{32}\b", "H32"),
-    (r"\b(?=[a-f]*[0-9])[0-9a-f]{16}\b", "H16"),
-    (r"\b(?=[a-f]*[0-9])[0-9a-f]{12}\b", "H12"),
-    (r"\b(?=[a-f]*[0-9])[0-9a-f]{8}\b", "H8"),
+    (r"\b(?=[a-f]*[0-9])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32}|[0-9a-f]{16}|[0-9a-f]{12}|[0-9a-f]{8})\b", "H"),
     (r"(?<![A-Za-z])[0-9]+", "0"),
 ]
 _NAMES = [
-    (r"\b[a-z]+-[a-z]+\b", "w-w"),
-    (r"\bu_[a-z]+\b", "u_w"),
-    (r"\b[a-z]+_[a-z_]+\b", "t_t"),
+    (r"\b[a-z]+(?:[-_][a-z]+)+\b", "w-w"),
     (r"\b[a-z]+(?:\.[A-Za-z]+)+", "j.j"),
     (r"\([A-Z][A-Za-z]*\.j", "(J.j"),
     (r"/(?:[a-z0-9]+/)?w-w", "/p"),
@@ -161,7 +154,7 @@ def endings(counts: DataFrame) -> DataFrame:
     # the same by the token before alone, for places that are rare
     any_word = counts.groupBy("l1", "x").agg(F.sum("total").alias("ty"))
     longer_y = _longer(any_word.withColumn("l2", F.lit("")), "x", "ty").select("l1", "x", F.col("longer_x").alias("longer_y"))
-    form = F.regexp_extract("m", r"^['\"(\[]*(U|A|H64|H40|H32|H16|H12|H8|X)\b", 1)
+    form = F.regexp_extract("m", r"^['\"(\[]*(U|A|H|X)\b", 1)
     place = counts.groupBy("l2", "l1").agg(F.sum("total").alias("tp"))
     rulers = (
         counts.withColumn("form", form).where("form <> ''").groupBy("l2", "l1", "form").agg(F.sum("total").alias("tf")).groupBy("l2", "l1").agg(F.max(F.struct("tf", "form")).alias("f"))
@@ -178,7 +171,7 @@ def endings(counts: DataFrame) -> DataFrame:
         .join(longer_y, ["l1", "x"], "left")
         .join(ruled, ["l2", "l1"], "left")
     )
-    own = F.coalesce(F.regexp_extract("m", r"^['\"(\[]*(U|A|H64|H40|H32|H16|H12|H8|X)\b", 1), F.lit(""))
+    own = F.coalesce(F.regexp_extract("m", r"^['\"(\[]*(U|A|H|X)\b", 1), F.lit(""))
     return joined.select(
         "l2",
         "l1",
@@ -198,7 +191,7 @@ def _part_of_ruler() -> Column:
     """The last token of the text is a part of the id form that rules its place."""
     size = F.length("tail")
     part = (
-        F.when(F.col("ruler").startswith("H"), F.col("tail").rlike(r"^[0-9a-f]*\z") & (size < F.try_to_number(F.substring("ruler", 2, 9), F.lit("99")).cast("int")))
+        F.when(F.col("ruler") == "H", F.col("tail").rlike(r"^[0-9a-f]*\z"))
         .when(F.col("ruler") == "U", F.col("tail").rlike(r"^[0-9a-f-]*\z") & (size < 36))
         .when(F.col("ruler") == "A", F.col("tail").rlike(r"^[0-9.]*\z"))
         .when(F.col("ruler") == "X", F.col("tail").rlike(r"^0?x?\z"))
@@ -209,7 +202,7 @@ def _part_of_ruler() -> Column:
 def verdicts(logs: DataFrame, id_col: str = "row_id", text_col: str = "message") -> DataFrame:
     """``id, source, evidence`` of each cut text: marker, character, ending, part or limit."""
     tokens = _tokens(logs, id_col, text_col)
-    marks = endings(token_counts(tokens.where(~F.col("text").rlike(MARKER))))
+    marks = endings(cut(token_counts(tokens.where(~F.col("text").rlike(MARKER)))))
     suspects = marks.where((F.col("share") < SURE_END) | (F.col("commoner") > TIMES_COMMONER) | (F.coalesce("ruler", F.lit("")) != ""))
     suspects = suspects.select(F.xxhash64("l2", "l1", "m", "x").alias("key"), "share", "commoner", "ruler")
     found = cut(limits(tokens.select("source", "text")))
