@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlog.operators import delivery, stamps
+from tarnlog.operators import delivery, fields, stamps
 from tarnlog.runtime import table
 
 
@@ -18,6 +18,11 @@ def p4_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivery.without_repeats(table(spark, sf_dir, "log_events"), table(spark, sf_dir, "hosts"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fields.entries(table(spark, sf_dir, "raw_lines"))
+    return found.withColumn("message_md5", F.md5(F.col("message").cast("binary"))).drop("message")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamps.normalise(table(spark, sf_dir, "raw_stamps"), table(spark, sf_dir, "hosts"))
 
@@ -39,7 +44,7 @@ with names as (
 )
 """
 
-QUERIES = {"p4_found": p4_found, "p4_kept": p4_kept, "p6_found": p6_found}
+QUERIES = {"p4_found": p4_found, "p4_kept": p4_kept, "p5_found": p5_found, "p6_found": p6_found}
 
 ORACLE = {
     "p4_found": _P4_KEY + "select row_id from keyed where copy > 1",
