@@ -17,15 +17,9 @@ from tarnlog.functions.text import rstrip
 #: (pattern, replacement), applied in order to the first line of a message.
 _VALUES = [
     (r"\{\".*", "#"),  # a JSON body, to its end or to where the text stops
-    (r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", "#"),
-    (r"/[^ ,;:'\"()]*", "#"),
-    (r"(?:[0-9]+\.)+[0-9]+(?::[0-9]+)?(?= ?(?:[KMGT]i?B?|ms|[smhd]|us|ns|µs)?\b)", "#"),
-    (r"\b[0-9]+(?:h|m(?!s)|s|d)(?:[0-9]+(?:h|m(?!s)|s)?)*\b", "#"),
-    (r"\b[A-Za-z]+_[A-Za-z_]*", "#"),
-    (r"\b[a-z0-9]+-[a-z0-9-]*", "#"),
-    (r"\b(?=[0-9a-zA-Z.]*[0-9])[0-9a-zA-Z]+(?:\.[0-9a-zA-Z]+)*", "#"),
+    # paths; names; tokens with a digit, dots inside included; columns
+    (r"/[^ ,;:'\"()]*|\b[A-Za-z0-9]+(?:[-_][A-Za-z0-9]*)+|\b(?=[0-9a-zA-Z.]*[0-9])[0-9a-zA-Z]+(?:[.:][0-9a-zA-Z]+)*|\b[a-z]\.[a-z]+\b", "#"),
     (r"# ?(?:[KMGT]i?B?|bytes|ms|s|us|ns|µs|毫秒)(?![\p{L}])", "#"),
-    (r"\b[a-z]\.[a-z]+\b", "#"),
     (r"#(?:,? (?:-> )?#)+", "#"),
 ]
 
