@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlog.llm import bpe, distinct, packing, runs, truncation
+from tarnlog.llm import bpe, distinct, langid, packing, runs, truncation
 from tarnlog.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,14 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(p8_containers(spark, sf_dir))
 
 
+def p9_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.mislabelled(p9_segments(spark, sf_dir)).select("doc_id", "seg_start", "lang")
+
+
 def queries() -> dict[str, Query]:
     return {
         "p1_distinct": p1_distinct,
@@ -67,6 +75,8 @@ def queries() -> dict[str, Query]:
         "p7_ids": p7_ids,
         "p8_containers": p8_containers,
         "p8_fill": p8_fill,
+        "p9_found": p9_found,
+        "p9_segments": p9_segments,
     }
 
 
