@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,3 +44,11 @@ def broadcast_if_small(df: DataFrame, key: str, most: int) -> DataFrame:
     """Hint a broadcast only when ``df`` has at most ``most`` rows (checked with a limited count)."""
     small = df.select(key).limit(most + 1).count() <= most
     return F.broadcast(df) if small else df
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """As :func:`cut`, but as a compressed table in the shared folder, for data as large as the input."""
+    ensure_checkpoint_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
