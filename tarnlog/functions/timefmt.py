@@ -32,10 +32,12 @@ def month_number(name: Column) -> Column:
 
 
 def wall_clock(y: Column, mo: Column, d: Column, h: Column, mi: Column, s: Column) -> Column:
-    """A TIMESTAMP_NTZ to the second, null where the calendar or the clock has no such value."""
-    as_int = lambda c: c.try_cast("int")
-    fits = as_int(h).between(0, 23) & as_int(mi).between(0, 59) & as_int(s).between(0, 59)
-    return F.when(fits, F.try_make_timestamp_ntz(as_int(y), as_int(mo), as_int(d), as_int(h), as_int(mi), as_int(s).cast("decimal(8,6)")))
+    """A TIMESTAMP_NTZ to the second, null where the calendar or the clock has no such value.
+
+    The fields (digits as text, or integers) are read once each, so the expression stays small.
+    """
+    text = lambda c: c.cast("string")
+    return F.concat(text(y), F.lit("-"), text(mo), F.lit("-"), text(d), F.lit(" "), text(h), F.lit(":"), text(mi), F.lit(":"), text(s)).try_cast("timestamp_ntz")
 
 
 def zoned_ms(local: Column, zone: Column) -> Column:

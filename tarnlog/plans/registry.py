@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnlog.plans import data_queries
+from tarnlog.plans import data_queries, log_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_queries.pipeline_errors(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
-    return dict(data_queries.QUERIES)
+    return {**log_queries.QUERIES, **data_queries.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(data_queries.ORACLE)
+    return {**log_queries.ORACLE, **data_queries.ORACLE}
