@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tarnlog.functions.timefmt import ntz_ms
 from tarnlog.llm.statements import masked, statements
 from tarnlog.operators import delivery
+from tarnlog.runtime import stored
 
 #: Seconds of a time bucket; a task holds one bucket of one sequence.
 BUCKET_SECONDS = 900
@@ -81,4 +82,4 @@ def pod_runs(scan: DataFrame, hosts: DataFrame, least: int = 2) -> DataFrame:
     folder = delivery.write_vectors(delivery.surplus(scan, hosts))
     masks = scan.where("pod is not null").withColumn("template", masked(F.col("message")))
     lines = delivery.apply_vectors(masks, folder, ["pod", "timestamp", "row_id", "template"])
-    return statement_runs(lines.toDF("seq", "ts", "id", "template"), least)
+    return statement_runs(stored(lines.toDF("seq", "ts", "id", "template")), least)
