@@ -97,7 +97,9 @@ def pack(items: DataFrame, capacities: DataFrame, id_col: str = "doc_id", size_c
     if not names:
         return _empty(items, id_col)
     listed = F.array(*[F.struct(F.lit(n).cast("string").alias("size_name"), F.lit(c).cast("long").alias("capacity")) for n, c in names])
-    each = sized.select("doc_id", "size", F.explode(listed).alias("c")).select("doc_id", "size", "c.size_name", "c.capacity")
+    # tells repeated rows apart; the items are a table or checkpoint, so the numbers are stable
+    sized = sized.withColumn("item", F.monotonically_increasing_id())
+    each = sized.select("item", "doc_id", "size", F.explode(listed).alias("c")).select("item", "doc_id", "size", "c.size_name", "c.capacity")
     full = F.expr("size div capacity")
     whole = (
         each.where(F.col("size") >= F.col("capacity"))
@@ -105,7 +107,7 @@ def pack(items: DataFrame, capacities: DataFrame, id_col: str = "doc_id", size_c
         .select(
             "size_name",
             "capacity",
-            F.concat_ws("-", F.lit("w"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("piece").cast("string")).alias("container"),
+            F.concat_ws("-", F.lit("w"), F.col("item").cast("string"), F.col("piece").cast("string")).alias("container"),
             "doc_id",
             "piece",
             ((F.col("piece") - 1) * F.col("capacity")).alias("start"),
