@@ -1,5 +1,8 @@
 """Multi-line assembly of a stream, file by file, with an idle flush.
 
+Lines may stand in a container runtime's shell; parts of a split line are kept in the state until
+their end arrives, and join the event as one line.
+
 The open event of a file is kept in the state store; it is emitted when the next head arrives,
 or when the file has been quiet for ``idle_ms``. State and source offsets are committed together,
 so an event that was open at a failure is still open after it.
@@ -14,8 +17,19 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-#: Fixed value: what opens a record of the default layout.
-HEAD = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(?:[.,][0-9]{1,9})?\s+(?:\[[^\]]*\]\s*)*?\[?[A-Z]+\]?\s+\S+"
+#: What opens a record, by format.
+HEADS = {
+    "logback": r"[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(?:[.,][0-9]{1,9})?\s+(?:\[TID:[^\]]*\]\s*)?(?:\[SpanID:[^\]]*\]\s*)?(?:\[[^\]]*\]\s*)?\[?[A-Z]+\]?\s+\S+",
+    "gin": r"\[GIN\] *[0-9]{4}/[0-9]{2}/[0-9]{2} - [0-9]{2}:[0-9]{2}:[0-9]{2} *\| *\+?[0-9]{1,5} *(?:\||\Z)",
+    "nginx": r"(?:(?! \[).)*? \[[0-9]{2}/[A-Z][a-z]{2}/[0-9]{4}:[0-9]{2}:[0-9]{2}:[0-9]{2}(?: [+-][0-9]{4})?\] \"[^\"]*\" \+?[0-9]{1,5}(?: |\Z)",
+}
+HEAD = "^(?:" + HEADS["logback"] + ")"
+_SHELL = re.compile(r"([^ ]*) (?:stdout|stderr) ([PF])(?::[^ ]*)?(?: (.*))?\Z", re.S)
+
+
+def head_of(formats: list[str]) -> str:
+    """A pattern for the heads of all formats."""
+    return "^(?:" + "|".join(HEADS[f] for f in formats) + ")"
 
 EVENT = T.StructType(
     [
@@ -29,8 +43,8 @@ EVENT = T.StructType(
 
 
 class Assembler(StatefulProcessor):
-    def __init__(self, head: str = HEAD, idle_ms: int = 2000, max_lines: int = 500, max_bytes: int = 262_144, tag: str = "tarnlog"):
-        self.pattern, self.idle_ms, self.max_lines, self.max_bytes, self.tag = head, idle_ms, max_lines, max_bytes, tag
+    def __init__(self, head: str = HEAD, idle_ms: int = 2000, max_lines: int = 500, max_bytes: int = 262_144, tag: str = "tarnlog", shell: str = "raw"):
+        self.pattern, self.idle_ms, self.max_lines, self.max_bytes, self.tag, self.shell = head, idle_ms, max_lines, max_bytes, tag, shell
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -46,6 +60,7 @@ class Assembler(StatefulProcessor):
             ]
         )
         self.state = handle.getValueState("open", kept)
+        self.part = handle.getValueState("part", T.StructType([T.StructField("text", T.StringType())]))
 
     def _event(self, file: str, s: tuple) -> Row:
         generation, offset, n, text, lost, size = s
@@ -56,6 +71,7 @@ class Assembler(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         file = key[0]
         s = tuple(self.state.get()) if self.state.exists() else None
+        part = self.part.get()[0] if self.part.exists() else None
         for r in sorted(rows, key=lambda r: (r["generation"], r["offset"])):
             if s and s[0] != r["generation"]:
                 yield self._event(file, s)
@@ -65,6 +81,11 @@ class Assembler(StatefulProcessor):
                     s = (*s[:4], s[4] + 1, s[5] + r["discard_bytes"])
                 continue
             line = r["line"]
+            if self.shell == "cri" and (m := _SHELL.match(line)):
+                part = (part or "") + (m[3] or "")
+                if m[2] == "P":
+                    continue
+                line, part = part, None
             if self.head.match(line):
                 if s:
                     yield self._event(file, s)
@@ -75,6 +96,10 @@ class Assembler(StatefulProcessor):
                 s = (*s[:4], s[4] + 1, s[5] + len(line.encode()) + 1)
             else:
                 s = (s[0], s[1], s[2] + 1, s[3] + "\n" + line, 0, 0)
+        if part is None:
+            self.part.clear()
+        else:
+            self.part.update((part,))
         for t in self.handle.listTimers():
             self.handle.deleteTimer(t)
         if s:
@@ -93,8 +118,8 @@ class Assembler(StatefulProcessor):
         pass
 
 
-def assemble_stream(lines: DataFrame, head: str = HEAD, idle_ms: int = 2000, max_lines: int = 500, max_bytes: int = 262_144) -> DataFrame:
+def assemble_stream(lines: DataFrame, head: str = HEAD, idle_ms: int = 2000, max_lines: int = 500, max_bytes: int = 262_144, shell: str = "raw") -> DataFrame:
     """Events of a stream of raw lines. Needs the RocksDB state store."""
     return lines.groupBy("file").transformWithState(
-        statefulProcessor=Assembler(head, idle_ms, max_lines, max_bytes), outputStructType=EVENT, outputMode="Append", timeMode="ProcessingTime"
+        statefulProcessor=Assembler(head, idle_ms, max_lines, max_bytes, shell=shell), outputStructType=EVENT, outputMode="Append", timeMode="ProcessingTime"
     )

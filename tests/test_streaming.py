@@ -51,3 +51,46 @@ def test_tail_and_idle_flush(spark, tmp_path):
     finally:
         q.stop()
     assert got == sorted(["stray", f"{HEAD}one\n\tat x\n\tat y", f"{HEAD}two"])
+
+
+def test_configured_stream(spark, tmp_path):
+    from tarnlog.streaming import runner
+
+    pod = tmp_path / "pods" / "ns_web-1_u1" / "app"
+    pod.mkdir(parents=True)
+    t = "2026-03-05T01:02:03.5Z"
+    (pod / "0.log").write_text(f"{t} stdout P {HEAD}on\n{t} stdout F e\n{t} stderr F \tat x\n{t} stdout F {HEAD}two\n")
+    config = {
+        "source": {"type": "kubernetes", "log_dir": f"{tmp_path}/pods", "read_from_beginning": True, "host": "h1", "namespaces": ["n*"]},
+        "sink": {"type": "console"},
+        "fields": {"shard": 3},
+    }
+    labels = spark.createDataFrame([("ns", "web-1", "web")], "namespace string, pod string, service_name string")
+    rows: list = []
+    from tarnlog.sinks.stream import memory_sink
+
+    def unhealthy():
+        raise ValueError("no table")
+
+    q = runner.start(spark, config, str(tmp_path / "ck"), labels, memory_sink(rows), unhealthy)
+    try:
+        deadline = time.time() + 90
+        while time.time() < deadline and len(rows) < 2:
+            time.sleep(1)
+    finally:
+        q.stop()
+    got = sorted((r["message"], r["level"], r["pod"], r["service_name"], r["host"], r["shard"]) for r in rows)
+    assert got == [("one\n\tat x", "INFO", "web-1", "web", "h1", 3), ("two", "INFO", "web-1", "web", "h1", 3)]
+
+
+def test_command_line(tmp_path, capsys):
+    import json
+
+    from tarnlog.__main__ import main
+
+    p = tmp_path / "c.json"
+    p.write_text(json.dumps({"source": {"type": "file", "include": ["*"]}, "sink": {"type": "console"}, "fields": {"n": 1}}))
+    assert main([str(p), "--check"]) == 0 and main([str(p), "--ddl"]) == 0
+    assert "`n` BIGINT" in capsys.readouterr().out
+    p.write_text("{}")
+    assert main([str(p), "--check"]) == 1
