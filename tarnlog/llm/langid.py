@@ -26,6 +26,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -73,16 +74,23 @@ _INVISIBLE = re.compile("[­​-‏⁠﻿‪-‮]")
 
 
 def clean(text: str) -> str:
+    if text.isascii():
+        return text.lower()
     return _INVISIBLE.sub("", unicodedata.normalize("NFKC", text)).lower()
 
 
+@lru_cache(maxsize=1)
+def letters() -> np.ndarray:
+    """Which code points are letters."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
+
+
 def gram_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(hash, position of its end) of each n-gram that lies in one word, edges included."""
     points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
     if len(points) < NGRAM - 1:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    known, back = np.unique(points, return_inverse=True)
-    letter = np.array([chr(c).isalpha() for c in known.tolist()])[back]
+    letter = letters()[points]
     c = np.where(letter, points, 32).astype(np.uint64)
     c = np.concatenate([[np.uint64(32)], c, [np.uint64(32)]])
     full = np.concatenate([[False], letter, [False]])
@@ -130,7 +138,7 @@ class Filter:
         """(n-grams found per group and language, corrected; n-grams of the group known to any)."""
         masks = self.languages_of(hashes)
         some = np.bincount(group[masks != 0], minlength=groups).astype(float)
-        hits = np.stack([np.bincount(group[(masks >> np.uint32(b)) & np.uint32(1) == 1], minlength=groups) for b in range(len(self.languages))], axis=1)
+        hits = np.stack([np.bincount(group, weights=(masks >> np.uint32(b)) & np.uint32(1), minlength=groups) for b in range(len(self.languages))], axis=1)
         return np.clip((hits - some[:, None] * self.false) / (1 - self.false), 0, None), some
 
 
