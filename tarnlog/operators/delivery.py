@@ -120,7 +120,7 @@ def apply_vectors(scan: DataFrame, folder: str, columns: list[str] | None = None
         import pyarrow.dataset as ds
         from pyarrow import fs
 
-        filesystem, base = fs.FileSystem.from_uri(folder)
+        filesystem, base = fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
         known: dict[str, np.ndarray] = {}
 
         def vector(path: str, part: int) -> np.ndarray:

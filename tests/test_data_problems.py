@@ -11,7 +11,7 @@ def hosts(spark):
     return spark.createDataFrame([(h, f, "s", z) for h, f, z in HOSTS], "host string, fqdn string, site string, tz string")
 
 
-LOG = "row_id long, timestamp timestamp_ntz, host string, file string, namespace string, pod string, container string, message string, extra string"
+LOG = "row_id long, timestamp timestamp_ntz, host string, file string, namespace string, pod string, container string, message string, machine string"
 
 
 def logs(spark, tmp_path, rows):
@@ -44,6 +44,7 @@ def test_delivery(spark, tmp_path):
 
 def read_stamps(spark, rows):
     df = spark.createDataFrame([(i, h, "f", i * 10, t, datetime.fromisoformat(r)) for i, (t, h, r) in enumerate(rows)], "stamp_id long, host string, file string, line_offset long, timestamp string, received_at timestamp_ntz")
+    df = df.withColumn("tz", F.lit("x")).withColumn("machine", F.lit(1)).withColumn("cands", F.lit(1)).withColumn("text", F.lit("2024"))  # clashing names
     return {r["stamp_id"]: r["utc_ms"] for r in stamps.normalise(df, hosts(spark)).collect()}
 
 
@@ -121,6 +122,7 @@ def test_fields(spark):
     rows = [("f", 0, i * (3 << 20), x, None, at) for i, x in enumerate(lines)]
     rows += [rows[1], ("f", 0, 99 << 20, "lost", 5, at), ("f", 0, 100 << 20, None, None, at), ("g", 0, 0, "x", None, at)]
     df = spark.createDataFrame(rows, "file string, generation int, line_offset long, line string, discard_bytes long, read_at timestamp_ntz")
+    df = df.withColumn("block", F.lit("b")).withColumn("layout", F.lit("gin")).withColumn("head", F.lit("h")).withColumn("ms", F.lit(1))  # clashing names
     got = [tuple(r)[3:7] + (r["message"],) for r in fields.entries(df).orderBy("line_offset").collect()]
     assert got == [
         (3, "2024-01-06 02:27:39.152", "DEBUG", "a.router", "hello\n2024-01-06 is not a booking day"),
