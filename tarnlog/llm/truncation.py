@@ -35,8 +35,9 @@ from tarnlog.runtime import broadcast_if_small, cut
 END_SHARE = 0.05
 #: ... counted over this many occurrences; rarer triples are judged by the pair of tokens.
 FEW = 12
-#: A beginning of a commoner token is a cut where those are this many times commoner.
-TIMES_COMMONER = 2.0
+#: A beginning of a commoner token is a cut where those are this many times commoner; a token seen
+#: FEW times or more by itself is likelier one of its own, and must be rarer still.
+TIMES_COMMONER, TIMES_IF_MANY = 2.0, 15.0
 #: Share of a place that an id form must have to rule it, and that another form must stay under.
 RULES, STRAY = 0.3, 0.05
 #: Rows on one length, and their ratio to the mean of the lengths around, that make a limit.
@@ -171,6 +172,11 @@ def endings(counts: DataFrame) -> DataFrame:
         .join(longer_y, ["l1", "x"], "left")
         .join(ruled, ["l2", "l1"], "left")
     )
+
+    def times(longer: str, total: str) -> Column:
+        """How many times commoner the longer tokens are, on the scale of TIMES_COMMONER."""
+        return F.coalesce(longer, F.lit(0)) / F.col(total) * F.when(F.col(total) >= FEW, TIMES_COMMONER / TIMES_IF_MANY).otherwise(1.0)
+
     own = F.coalesce(F.regexp_extract("m", r"^['\"(\[]*(U|A|H|X)\b", 1), F.lit(""))
     return joined.select(
         "l2",
@@ -179,9 +185,9 @@ def endings(counts: DataFrame) -> DataFrame:
         "x",
         F.when(F.col("t3") >= FEW, F.col("e3") / F.col("t3")).otherwise(F.col("e2") / F.col("t2")).alias("share"),
         F.greatest(
-            F.coalesce("longer_x", F.lit(0)) / F.col("tx"),
-            F.coalesce("longer_m", F.lit(0)) / F.col("t3"),
-            F.when(F.col("t3") < FEW, F.coalesce("longer_y", F.lit(0)) / F.col("ty")).otherwise(0.0),
+            times("longer_x", "tx"),
+            times("longer_m", "t3"),
+            F.when(F.col("t3") < FEW, times("longer_y", "ty")).otherwise(0.0),
         ).alias("commoner"),
         F.when((own != F.col("ruler")) & (F.col("t3") < STRAY * F.col("tp")), F.col("ruler")).otherwise("").alias("ruler"),
     )

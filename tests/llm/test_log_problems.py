@@ -77,6 +77,8 @@ def test_truncation(spark):
     for i in range(400):
         texts += [f"Lease on {rnd.choice(names)} released for {i} seconds", f"Job {rnd.choice(names)} started", f"Waiting for {rnd.choice(names)}...", f"Session {rnd.randrange(1 << 47, 1 << 48):012x} closed"]
         texts.append("Trace\n\tat a.b.C.d(E.java:1)\n\t... %d more" % i)
+    # an ending of its own that also begins a commoner token
+    texts += [f"Depth is {i} after {i}.5 s" for i in range(40)] + [f"Process {i} ready after {i}.5 s, profile x" for i in range(120)]
     whole = len(texts)
     cut = ["Lease on amber-kettle rel", "Job brisk-", "Job keen-dun", "Lease on keen-willow released for", "Session 12ab", "Trace\n\tat a.b.C.d(E.ja", "Trace\n... [x 截断：省略 3 行 / 109 字节]", "Lease on gr�"]
     rows = [(i, x, "p", "s", "f") for i, x in enumerate(texts + cut)] + [(9001, None, None, None, None), (9002, " \n", None, None, None)]
