@@ -6,7 +6,7 @@ Storage limits. The length of each text is recomputed as a store may have measur
 characters, UTF-8 bytes, UTF-16 units, after JSON escaping, entity escaping or newline
 conversion. A limit of a source shows as a spike of one length under one of these encodings,
 with hardly any longer text beyond it. Rows of a spike are cut unless their ending is one that
-only stands at the end of texts.
+is known to stand at the end of texts; an ending seen too rarely to tell clears none.
 
 Endings. Texts are split into tokens, values are masked by form, and the corpus is counted once:
 how often each (two tokens before, token) ends a text and how often it goes on; which longer
@@ -33,7 +33,8 @@ from tarnlog.runtime import broadcast_if_small, cut
 
 #: An ending is a cut if fewer than this share of its occurrences end a text ...
 END_SHARE = 0.05
-#: ... counted over this many occurrences; rarer triples are judged by the pair of tokens.
+#: ... counted over this many occurrences; rarer triples are judged by the pair of tokens,
+#: and where that is as rare, a row at a limit by the token alone.
 FEW = 12
 #: A beginning of a commoner token is a cut where those are this many times commoner; a token seen
 #: FEW times or more by itself is likelier one of its own, and must be rarer still.
@@ -46,6 +47,8 @@ LIMIT_ROWS, LIMIT_RATIO, LIMIT_BEYOND, LIMIT_LEAST = 8, 8.0, 0.02, 64
 LIMITS_BROADCAST_ROWS = 100_000
 #: Share of ends from which a triple is an ending of its own.
 SURE_END = 0.5
+#: Share of an ending seen too rarely to tell: no cut by itself, and not sure enough to clear a row at a limit.
+UNKNOWN_END = 0.25
 
 #: The collector's last line on a text that it cut itself.
 MARKER = r"\n\.\.\. \[[^\]\n]* 截断：省略 [0-9]+ 行 / [0-9]+ 字节\]\z"
@@ -62,6 +65,8 @@ _NAMES = [
     (r"\b[a-z]+(?:[-_][a-z]+)+\b", "w-w"),
     (r"\b[a-z]+(?:\.[A-Za-z]+)+", "j.j"),
     (r"\([A-Z][A-Za-z]*\.j", "(J.j"),
+    # a frame that stops in its file's name begins the whole ones
+    (r"j\.j\([A-Z][A-Za-z]*(\.?)\z", "j.j(J$1"),
     (r"/(?:[a-z0-9]+/)?w-w", "/p"),
 ]
 
@@ -148,6 +153,7 @@ def endings(counts: DataFrame) -> DataFrame:
     """``l2, l1, m, x, share, commoner, ruler``: what speaks against each ending that occurs."""
     triple = counts.groupBy("l2", "l1", "m").agg(F.sum("total").alias("t3"), F.sum("ends").alias("e3"))
     pair = counts.groupBy("l1", "m").agg(F.sum("total").alias("t2"), F.sum("ends").alias("e2"))
+    single = counts.groupBy("m").agg(F.sum("total").alias("t1"), F.sum("ends").alias("e1"))
     # how often longer tokens begin with a token, in the same place; once as written, once masked
     word = counts.groupBy("l2", "l1", "x").agg(F.sum("total").alias("tx"))
     longer_x = _longer(word, "x", "tx")
@@ -165,6 +171,7 @@ def endings(counts: DataFrame) -> DataFrame:
     joined = (
         at_end.join(triple, ["l2", "l1", "m"])
         .join(pair, ["l1", "m"])
+        .join(single, "m")
         .join(word, ["l2", "l1", "x"])
         .join(longer_x, ["l2", "l1", "x"], "left")
         .join(longer_m, ["l2", "l1", "m"], "left")
@@ -183,7 +190,12 @@ def endings(counts: DataFrame) -> DataFrame:
         "l1",
         "m",
         "x",
-        F.when(F.col("t3") >= FEW, F.col("e3") / F.col("t3")).otherwise(F.col("e2") / F.col("t2")).alias("share"),
+        # rare by the pair too: the token alone may clear a row at a limit, but is no evidence of a cut
+        F.when(F.col("t3") >= FEW, F.col("e3") / F.col("t3"))
+        .when(F.col("t2") >= FEW, F.col("e2") / F.col("t2"))
+        .when(F.col("t1") >= FEW, F.greatest(F.col("e1") / F.col("t1"), F.lit(END_SHARE)))
+        .otherwise(UNKNOWN_END)
+        .alias("share"),
         F.greatest(
             times("longer_x", "tx"),
             times("longer_m", "t3"),

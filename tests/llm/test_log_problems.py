@@ -92,6 +92,23 @@ def test_truncation(spark):
     assert report["n_cut"] == len(cut)
 
 
+def test_rare_endings_of_cut_texts(spark):
+    names = "Anchor Falcon Garnet Harbor Juniper Lantern Meadow Orchard Pebble Quarry".split()
+    frame = lambda i: f"\n\tat a.b.{names[i % 10]}.c{'xyz'[i % 3]}({names[i % 10]}.java:{i})"
+    whole = [f"Task {i} failed{frame(i)}{frame(i + 1)}" for i in range(60)]
+    cut = ["Task 1 failed\n\tat a.b.Valley.q(Valley.", "Task 2 failed\n\tat a.b.Thicket.q(Thick"]
+    # a limit of 80 characters: endings that occur once each
+    word = lambda i: "".join(chr(97 + (i * k) % 26) for k in (3, 5, 7, 11))
+    known = [f"Sum {word(i)}{word(i + 50)}".ljust(71, chr(97 + i % 26)) + " verified" for i in range(20)]
+    limited = [f"Note {word(i)} {word(i + 100)} ".ljust(80, chr(97 + i % 26))[:80] for i in range(40)]
+    short = [f"Note {word(i + 200)} {word(i + 300)} {word(i + 400)} {'t' * (i % 30)}" for i in range(40)]
+    texts = whole + short + known + cut + limited
+    df = spark.createDataFrame([(i, x, "p", "s" if "Task" in x else "t", "f") for i, x in enumerate(texts)], "row_id long, message string, pod string, service_name string, file string")
+    got = {r["id"]: r["evidence"] for r in truncation.verdicts(df).collect()}
+    first = len(whole + short + known)
+    assert got == {first: "ending", first + 1: "ending"} | {i: "limit" for i in range(first + 2, len(texts))}
+
+
 def test_limits(spark):
     rnd = random.Random(6)
     rows = []
