@@ -3,9 +3,10 @@
 Method. Every token of a line is typed by its form (time, level, number, address, name, bracket,
 quote, pair). Token bigrams and trigrams are counted over the corpus and separate constant words
 from variable ones: a word of no type is constant where its bigram or trigram is common, else it
-becomes a star. What starts a line this way is its template, and the templates, a short list
-however long the corpus is, receive field roles by the types in them: which token is the time,
-which the level, which the component, where the message starts. A template with the roles of a
+becomes a star. What starts a line this way is its template. The templates receive field roles by
+fixed patterns over the types in them: which token is the time, which the level, which the
+component, where the message starts. The types alone decide there: whether the counts found a word
+constant or not changes no role, only how short the list of templates is. A template with the roles of a
 record is a head; the layout's pattern then cuts the fields out of the line, and is an exact
 check: a line that does not fit it, or whose time the calendar lacks, is no head.
 
@@ -137,7 +138,8 @@ def templates(heads: DataFrame) -> DataFrame:
     left2 = bi.groupBy("b").agg(F.sum("n2").alias("l2"))
     counted = spots.join(tri, ["a", "b", "c"]).join(left3, ["a", "b"]).join(bi, ["b", "c"]).join(left2, "b")
     constant = (F.col("n3") >= CONSTANT_SHARE * F.col("l3")) & (F.col("n2") >= CONSTANT_SHARE * F.col("l2"))
-    word = F.when(F.col("c").contains("‹") | constant | F.col("c").rlike(r"^\W+$"), F.col("c")).otherwise("*")
+    # a quote in front is layout, however rare the word in it
+    word = F.when(F.col("c").contains("‹") | constant | F.col("c").rlike(r"^\W+$"), F.col("c")).otherwise(F.concat(F.regexp_extract("c", '^"?', 0), F.lit("*")))
     built = counted.groupBy("head").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", word.alias("w")))), lambda x: x["w"]), " ").alias("template"))
     layout = F.lit(None).cast("string")
     for name, form in reversed(_ROLES):

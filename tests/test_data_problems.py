@@ -137,3 +137,14 @@ def test_fields(spark):
         (2, "2024-01-06 06:05:40.765", "INFO", "c.d.E", "body\n" + lines[14]),
     ]
     assert fields.entries(df.where("false")).count() == 0
+
+
+def test_rare_methods_are_heads(spark):
+    at = datetime(2024, 1, 8)
+    methods = ["GET"] * 2500 + ["POST"] * 500 + ["OPTIONS", "PATCH", "HEAD"]
+    lines = [f'10.8.1.2 - - [07/Jan/2024:00:51:31 +0000] "{m} /x HTTP/1.1" 200 8 "-" "t"' for m in methods]
+    lines += ['10.8.1.2 - - [07/Jan/2024:00:51:31 +0000] "quit" 400 8 "-" "-"', '10.8.1.2 - - [07/Jan/2024:00:51:31 +0000] unquoted 400 8']
+    rows = [("f", 0, i * 100, x, None, at) for i, x in enumerate(lines)]
+    df = spark.createDataFrame(rows, "file string, generation int, line_offset long, line string, discard_bytes long, read_at timestamp_ntz")
+    got = {r["line_offset"] // 100: (r["n_lines"], r["component"]) for r in fields.entries(df).collect()}
+    assert got == {i: (1 + (i == len(lines) - 2), "nginx") for i in range(len(lines) - 1)}
