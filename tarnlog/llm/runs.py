@@ -6,7 +6,7 @@ happens in two levels: first inside (sequence, time bucket), then only for the f
 run of each bucket, which are the only ones that can go on across a border. No task ever sees a
 whole sequence.
 
-Two events are of one statement if their masked lines are equal, or if one is the beginning of
+Two events are of one statement if their masked texts, all lines of them, are equal, or if one is the beginning of
 the other (a text that was cut). Defined results: rows with a null sequence are left out; null
 timestamps sort first and give a null duration; null messages equal each other; runs shorter
 than ``least`` are not returned; an empty table gives no rows.

@@ -2,7 +2,8 @@
 
 Values are recognised by their form (numbers, ids, addresses, paths, sizes, durations, names
 joined by hyphens, dots or underscores), and by their place: a plain word is a value where the
-corpus shows values of other forms, or many different words, between the same neighbours.
+corpus shows values of other forms, or many different words, between the same neighbours. All
+lines of a message count: a differing fixed word below its first line is another statement too.
 """
 
 from __future__ import annotations
@@ -13,16 +14,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnlog.functions.text import rstrip
+from tarnlog.llm.truncation import MARKER
 
-#: (pattern, replacement), applied in order to the first line of a message.
+#: (pattern, replacement), applied in order to the lines of a message; none goes beyond a line.
 _VALUES = [
     (r"\{\".*", "#"),  # a JSON body, to its end or to where the text stops
     # paths; names; tokens with a digit, dots inside included; columns
-    (r"/[^ ,;:'\"()]*|\b[A-Za-z0-9]+(?:[-_][A-Za-z0-9]*)+|\b(?=[0-9a-zA-Z.]*[0-9])[0-9a-zA-Z]+(?:[.:][0-9a-zA-Z]+)*|\b[a-z]\.[a-z]+\b", "#"),
+    (r"/[^ \n,;:'\"()]*|\b[A-Za-z0-9]+(?:[-_][A-Za-z0-9]*)+|\b(?=[0-9a-zA-Z.]*[0-9])[0-9a-zA-Z]+(?:[.:][0-9a-zA-Z]+)*|\b[a-z]\.[a-z]+\b", "#"),
     (r"# ?(?:[KMGT]i?B?|bytes|ms|s|us|ns|µs|毫秒)(?![\p{L}])", "#"),
     (r"#(?:,? (?:-> )?#)+", "#"),
 ]
 
+#: The token that stands for a line end.
+LINE_END = "⏎"
 #: A word is a value where values of other forms fill this share of the same place ...
 SLOT_SHARE = 0.3
 #: ... or where at least this many different words do.
@@ -32,23 +36,26 @@ WORD_SHARE = 0.01
 
 
 def masked(message: Column) -> Column:
-    """The first line with values replaced by ``#``."""
-    first = rstrip(F.substring_index(rstrip(message), "\n", 1))
-    return reduce(lambda c, p: F.regexp_replace(c, p[0], p[1]), _VALUES, first)
+    """The text with values replaced by ``#`` and each line end by a token of its own.
+
+    The collector's marker on a text that it cut is no part of the text.
+    """
+    text = rstrip(F.regexp_replace(rstrip(message), MARKER, ""))
+    values = reduce(lambda c, p: F.regexp_replace(c, p[0], p[1]), _VALUES, text)
+    return F.regexp_replace(values, r"[ \t\r]*\n", f" {LINE_END} ")
 
 
 def _places(tokens: Column) -> Column:
-    """An array of (left two tokens, word, right token) over the plain words of a line."""
-    n = F.size(tokens)
-    at = lambda i: F.coalesce(F.try_element_at(tokens, i), F.lit(""))
-    return F.transform(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: F.struct(
-            F.when(i > 2, at(F.greatest(i - 2, F.lit(1)))).otherwise("").alias("l2"),
-            F.when(i > 1, at(F.greatest(i - 1, F.lit(1)))).otherwise("").alias("l1"),
-            at(i).alias("word"),
-            at(i + 1).alias("r1"),
-        ),
+    """An array of (left two tokens, word, right token) over the plain words of a text; line ends close a line."""
+    none = F.array(F.lit(""))
+    t = F.coalesce(tokens, none)
+    n = F.size(t)
+    # shifted copies: a look-up inside a lambda would split the text again for each word
+    return F.arrays_zip(
+        F.slice(F.concat(none, none, t), F.lit(1), n).alias("l2"),
+        F.slice(F.concat(none, t), F.lit(1), n).alias("l1"),
+        t.alias("word"),
+        F.slice(F.concat(F.transform(t, lambda x: F.when(x != LINE_END, x).otherwise("")), none), F.lit(2), n).alias("r1"),
     )
 
 
@@ -60,7 +67,7 @@ def bare(token: Column) -> Column:
 def value_words(templates: DataFrame) -> DataFrame:
     """``l2, l1, word, r1`` of the plain words that stand where values stand.
 
-    ``templates`` is ``template, n``: distinct masked lines with their counts.
+    ``templates`` is ``template, n``: distinct masked texts with their counts.
     """
     placed = templates.select("n", F.explode(_places(F.split("template", " "))).alias("p")).select("n", "p.*")
     words = placed.withColumn("kind", bare(F.col("word"))).groupBy("l2", "l1", "r1", "kind").agg(F.sum("n").alias("n"))
@@ -79,9 +86,9 @@ def value_words(templates: DataFrame) -> DataFrame:
 
 
 def statements(lines: DataFrame, col: str = "template") -> DataFrame:
-    """``template, statement`` of each distinct masked line of ``lines``.
+    """``template, statement`` of each distinct masked text of ``lines``.
 
-    The lines shrink to distinct masked lines by a partial aggregate first; all learning runs on
+    The lines shrink to distinct masked texts by a partial aggregate first; all learning runs on
     those. Words in value places become ``#``, so lines that differ there share a statement.
     """
     templates = lines.select(F.col(col).alias("template")).groupBy("template").agg(F.count(F.lit(1)).alias("n"))

@@ -70,6 +70,16 @@ def test_cut_text_goes_on_in_its_run(spark):
     assert spark.range(1).select(runs.same_statement(a, b), runs.same_statement(a, F.lit("Task # x")), runs.same_statement(F.lit(None).cast("string"), F.lit(None).cast("string"))).first()[:] == (True, False, True)
 
 
+def test_further_lines_make_a_statement(spark):
+    crash = lambda i, error, line=88: f"Worker {i} crashed while handling task {i}\n{error}: slot {i} already taken\n\tat /a.b.C.d(C.java:{line})\n\t... {i} more"
+    a, b = "java.lang.IllegalStateException", "java.io.IOException"
+    texts = [crash(1, a), crash(2, a, 9), crash(3, b), crash(4, b), crash(5, a)[:60], crash(6, a)]
+    texts += [crash(7, b)[:70] + "\n... [x 截断：省略 3 行 / 109 字节]", crash(8, b), "Worker 9 stopped", "Worker 10 stopped"]
+    df = spark.createDataFrame([("p", datetime(2024, 1, 1, 0, 0, i), i, x) for i, x in enumerate(texts)], "seq string, ts timestamp_ntz, id long, message string")
+    got = runs.statement_runs(df.withColumn("template", statements.masked(F.col("message"))).drop("message"))
+    assert sorted((r["first_id"], r["last_id"]) for r in got.collect()) == [(0, 1), (2, 3), (4, 5), (6, 7), (8, 9)]
+
+
 def test_truncation(spark):
     rnd = random.Random(5)
     names = [f"{a}-{b}" for a in ("amber", "brisk", "keen") for b in ("kettle", "dune", "willow")]
