@@ -147,18 +147,46 @@ _WORD = re.compile(r"[^\W\d_]+")
 _REDACTED = re.compile(r"\[[^\]\n]{0,24}\]")
 
 
+#: Ends of sentences in scripts without case.
+_CASELESS_ENDS = ("。", "！", "？", "；", "：", "」", "』", "؟", "؛", "۔")
+
+
+def _caseless(words: list[str]) -> tuple[bool, int] | None:
+    """(whether words without case make prose, letters of a title at most); None if words have case."""
+    plain = [w for w in words if w[0].lower() == w[0].upper()]
+    size = sum(map(len, plain))
+    if 2 * size <= sum(map(len, words)):
+        return None
+    # Han and kana stand without spaces, so letters count there instead of words
+    dense = sum("\u3040" <= ch <= "\u30ff" or "\u3400" <= ch <= "\u9fff" for w in plain for ch in w)
+    return (size >= 12, 25) if 2 * dense > size else (len(plain) >= 4 and size >= 14, 40)
+
+
 def prose_lines(lines: list[str]) -> list[bool]:
-    """Which lines are prose: enough words in lower case, and no title on a line of its own."""
-    out = []
+    """Which lines are prose: enough words in lower case, and no title on a line of its own.
+
+    A line that goes on in prose needs fewer of them: typeset lines may be short or full of nouns.
+    Lines in a script without case are judged by their words or letters.
+    """
+    out, weak, lows = [], [], []
     for i, line in enumerate(lines):
         words = _WORD.findall(_REDACTED.sub(" ", line))
         low = sum(w[0].islower() for w in words)
         letters = sum(map(len, words))
-        ok = low >= 4 and letters >= 30
-        if ok and letters < 60 and not line.rstrip().endswith((".", ":", ";", ",", "!", "?", ")", "”", "»", '"')):
+        ok, title = low >= 4 and letters >= 30, 60
+        if not ok and words and not line.isascii() and (found := _caseless(words)):
+            ok, title = found
+        if ok and letters < title and not line.rstrip().endswith((".", ":", ";", ",", "!", "?", ")", "”", "»", '"', *_CASELESS_ENDS)):
             blank = lambda k: not 0 <= k < len(lines) or not lines[k].strip()
             ok = not (blank(i - 1) and blank(i + 1))
         out.append(ok)
+        lows.append(low)
+        # single letters are parts of names there (S.p.A., v, c/)
+        weak.append(not ok and low >= 2 and letters >= 30 and sum(len(w) > 1 and w[0].islower() for w in words) >= 2)
+    for i in range(len(lines) - 2, -1, -1):
+        if weak[i]:
+            after = lines[i + 1].lstrip()
+            out[i] = out[i + 1] or (after[:1].islower() and lows[i] + lows[i + 1] >= 4)
     return out
 
 
@@ -197,7 +225,7 @@ def segments(text: str, model: Filter) -> list[tuple[int, str, float, int]]:
     for j in range(1, len(at)):
         i = at[j]
         before = raw[i - 1].rstrip()
-        if before and at[j - 1] == i - 1 and not before.endswith((".", ":", "!", "?", "”", "»", '"', ")")):
+        if before and at[j - 1] == i - 1 and not before.endswith((".", ":", "!", "?", "”", "»", '"', ")", *_CASELESS_ENDS)):
             costs[j] = INSIDE_COST
     states = chain(evidence, costs)
     starts = np.cumsum([0] + [len(x) + 1 for x in raw])

@@ -81,3 +81,28 @@ def test_chain_against_all_paths():
         ev, costs = rnd.normal(0, 4, (5, 3)), rnd.uniform(0, 6, 5)
         score = lambda p: sum(ev[i, s] for i, s in enumerate(p)) - sum(costs[i] for i in range(1, 5) if p[i] != p[i - 1])  # noqa: B023, E731
         assert abs(score(langid.chain(ev, costs)) - max(map(score, itertools.product(range(3), repeat=5)))) < 1e-9
+
+
+def test_typeset_first_line_is_prose(model):
+    rnd = random.Random(5)
+    a, b = prose(rnd, "en"), prose(rnd, "de")
+    first = "Das Landgericht vom 10. Februar 2021 nennt Klauseln, Verfahrensmangel"
+    text = f"{a}\n\n{first}\n{b}"
+    assert [(s, lang) for s, lang, _, _ in langid.segments(text, model)] == [(0, "en"), (text.index(first), "de")]
+    header = "Galwendova S.p.A. contra Pellluttara"
+    assert langid.prose_lines([header, b, "", first, "sowie der Kläger.", "", first, ""]) == [False, True, False, True, False, False, False, False]
+
+
+def test_scripts_without_case(spark):
+    said = {
+        "zh": ["本院认为原告的诉讼请求没有事实和法律依据。", "被告应当在判决生效之日起十日内支付货款。", "双方当事人对上述事实均没有提出异议。"],
+        "ar": ["قضت المحكمة برفض الدعوى وإلزام المدعي بالمصروفات كلها.", "لم يقدم المدعى عليه أي دليل على صحة هذا الادعاء.", "وحيث إن الاستئناف قد أقيم في الميعاد المحدد قانونا."],
+        "ko": ["법원은 원고의 청구를 모두 기각하고 소송비용을 부담하게 하였다.", "피고는 계약에 따른 대금을 지급할 의무가 있다고 판단된다.", "당사자들은 위 사실에 대하여 아무런 다툼이 없었다."],
+        "ja": ["裁判所は原告の請求をいずれも棄却すると判断した。", "被告は契約に基づく代金を支払う義務を負っている。", "当事者はこの事実について争っていないと認められる。"],
+    }
+    rnd = random.Random(6)
+    rows = [(i, "\n\n".join(rnd.choice(said[c]) for _ in range(4)), c, "") for i in range(160) for c in [sorted(said)[i % 4]]]
+    model = langid.fit(spark.createDataFrame(rows, DOCS))
+    assert model.languages == ["ar", "ja", "ko", "zh"]
+    text = "判决书\n\n" + "\n\n".join(said[c][0] for c in ("zh", "ar", "ko", "ja"))
+    assert [(s, lang) for s, lang, _, _ in langid.segments(text, model)] == [(0, "zh")] + [(text.index(said[c][0]), c) for c in ("ar", "ko", "ja")]
