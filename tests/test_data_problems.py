@@ -100,51 +100,117 @@ def md5(x):
     return hashlib.md5(x.encode()).hexdigest()
 
 
+LINES = "file string, generation int, line_offset long, line string, discard_bytes long, read_at timestamp_ntz"
+AT = datetime(2024, 1, 8)
+TEXTS = ["Lease on x-{i} released", "{i} shards left", "10.1.2.{i} refused", "订单 {i} 已入队", "io.x.Lock: held {i}", "'a' took {i} ms", "[x{i}] body", "Poll idle", "(see {i}) | odd"]
+
+
+def corpus(layouts, n=60):
+    """(line, level, component, message) of each layout, n times, with texts that begin with anything."""
+    out = []
+    for k, (form, level, name, escape) in enumerate(layouts):
+        for i in range(n):
+            text = "-5 degrees" if i == 7 else TEXTS[(i + k) % len(TEXTS)].format(i=i % 90)
+            line = form.replace("%m", escape(text)).replace("%i", f"{i % 60:02d}").replace("%c", name)
+            out.append((line, level, name, line if escape is None else text))
+    return out
+
+
+def same(x):
+    return x
+
+
+def quoted(x):
+    return x.replace('"', '\\"')
+
+
+LAYOUTS = [
+    ("2024-01-06 02:27:%i,152 - %c - DEBUG - %m", "DEBUG", "a.router", same),
+    ('{"ts": 1704308334042, "pid": 1%i, "severity": "NOTICE", "logger": "%c", "message": "%m", "ctx": {"level": 1}}', "INFO", "k", quoted),
+    ('time=2024-01-06T03:36:%i.112Z msg="%m" peer=17 level=err component=%c', "ERROR", "w", quoted),
+    ("<131>1 2024-01-05T10:22:%i.001Z h-1 %c 17 ID%i - %m", "ERROR", "x-store", same),
+    ("F0106 11:25:%i.651626   89829 %c:7%i] %m", "FATAL", "r_store.go", same),
+    ("2024-01-06T10:27:%i.460147+08:00|CRITICAL|%c|%m", "FATAL", "j-r", same),
+    ("2024-01-06T03:36:%i.553687Z  WARN %c: %m", "WARN", "b::kettle", same),
+    ("2024-01-06 06:05:%i.765 [TID:AA] [w-1] INFO  %c -%m", "INFO", "c.d.E", same),
+    ("2024-01-06 06:05:%i,765 [ERROR] %c %m", "ERROR", "c.d.F", same),
+]
+#: Layouts that no rule names: level first, bracketed time, a word as component, dashes and brackets, a tabbed one.
+NEW = [
+    ("ERROR 2024-01-06 06:05:%i %c: %m", "ERROR", "cache", same),
+    ("[2024-01-06 06:05:%i.1] [warn] %c | %m", "WARN", "scheduler", same),
+    ("2024-01-06 06:05:%i.123  INFO 4711 --- [main] %c  : %m", "INFO", "o.s.Boot", same),
+    ("2024/01/06 06:05:%i\tFATAL\t%c\t%m", "FATAL", "io.y.Zed", same),
+]
+
+
+def placed(spark, lines, step=100):
+    return spark.createDataFrame([("f", 0, i * step, x, None, AT) for i, x in enumerate(lines)], LINES)
+
+
+def check(spark, made):
+    got = {r["line_offset"] // 100: (r["level"], r["component"], r["message"]) for r in fields.entries(placed(spark, [m[0] for m in made])).collect()}
+    wrong = {made[i][0]: got.get(i) for i in range(len(made)) if got.get(i) != (*made[i][1:3], made[i][3].rstrip())}
+    return wrong, got
+
+
 def test_fields(spark):
-    at = datetime(2024, 1, 6)
-    lines = [
-        "orphan",
+    # a dash behind a name is layout, so no text begins with one there
+    made = [m for m in corpus(LAYOUTS) if not (m[3].startswith("-") and m[2] == "c.d.F")]
+    assert check(spark, made)[0] == {}
+
+
+def test_layouts_that_no_list_holds(spark, monkeypatch):
+    made = [m for m in corpus(NEW + LAYOUTS) if not (m[3].startswith("-") and m[2] == "c.d.F")]
+    assert check(spark, made)[0] == {}
+    # the counts decide: without them the fields end elsewhere
+    learn = fields.learn
+    monkeypatch.setattr(fields, "learn", lambda lines: fields.Dictionary(keys=learn(lines).keys))
+    assert len(check(spark, made)[0]) > 100
+
+
+def test_entries(spark):
+    lines = [m[0] for m in corpus(LAYOUTS)]
+    n = len(lines)
+    lines += [
         "2024-01-06 02:27:39,152 - a.router - DEBUG - hello",
         "2024-01-06 is not a booking day",
         "",
-        '{"ts": 1704308334042, "severity": "NOTICE", "logger": "k", "message": "a\\nb \\u00fc"}',
-        '{',
+        "2024-01-08 12:34:03 last seen on shard 24",
+        "INFO blocks follow for x",
+        "E0106: rule set is empty",
+        '{"ts": 1704308334042, "severity": "NOTICE", "logger": "k", "message": "a\\nb \\u00fc \\ud800"}',
+        "{",
         'time=2024-01-06T03:36:39.112Z msg="say \\"x\\" level=debug" level=err component=w',
-        "<131>1 2024-01-05T10:22:47.001Z h app - - - boom",
-        "F0106 11:25:07.651626   89829 r_store.go:799] end  ",
         "[GIN] 2024/01/05 - 22:37:36 | 404 |   76.089ms |   10.1.1.1 | GET",
-        '10.8.1.2 - - [07/Jan/2024:00:51:31 +0100] "DELETE /x HTTP/1.1" 204 8 "-" "t"',
-        "2024-01-06T10:27:48.460147+08:00|CRITICAL|j-r|msg|more",
-        "2024-01-06T03:36:40.553687Z  WARN b::kettle: text: more",
-        "2024-01-06 06:05:40.765 [TID:AA] [w-1] INFO  c.d.E - body",
+        '10.8.1.2 - bob [07/Jan/2024:00:51:31 +0100] "DELETE /x HTTP/1.1" 204 8 "-" "t"',
+        "2024-01-06 06:05:40.765 [TID:AA] [w-1] INFO  c.d.E -body",
         "2024-02-30 06:05:40.765 [w-1] INFO  c.d.E - no such day",
+        "F0106 11:25:07.651626   89829 r_store.go:799] end  ",
     ]
-    rows = [("f", 0, i * (3 << 20), x, None, at) for i, x in enumerate(lines)]
-    rows += [rows[1], ("f", 0, 99 << 20, "lost", 5, at), ("f", 0, 100 << 20, None, None, at), ("g", 0, 0, "x", None, at)]
-    df = spark.createDataFrame(rows, "file string, generation int, line_offset long, line string, discard_bytes long, read_at timestamp_ntz")
-    df = df.withColumn("block", F.lit("b")).withColumn("layout", F.lit("gin")).withColumn("head", F.lit("h")).withColumn("ms", F.lit(1))  # clashing names
-    got = [tuple(r)[3:7] + (r["message"],) for r in fields.entries(df).orderBy("line_offset").collect()]
-    assert got == [
-        (3, "2024-01-06 02:27:39.152", "DEBUG", "a.router", "hello\n2024-01-06 is not a booking day"),
-        (2, "2024-01-03 18:58:54.042", "INFO", "k", "a\nb ü\n{"),
+    rows = [("g", 0, 0, "orphan", None, AT)] + [("f", 0, i * (3 << 20), x, None, AT) for i, x in enumerate(lines)]
+    rows += [rows[1], ("f", 0, 9999 << 20, "lost", 5, AT), ("f", 0, 9998 << 20, None, None, AT), ("g", 0, 1, "x", None, None), ("g", None, 2, lines[n], None, None), (None, 0, 2, lines[-1], None, None), ("g", 7, 5, "x" * 300_000, None, AT)]
+    df = spark.createDataFrame(rows, LINES)
+    for c in ("block", "style", "n", "ms", "year", "a", "opened"):
+        df = df.withColumn(c, F.lit("clash"))
+    got = [r for r in fields.entries(df).orderBy("line_offset").collect() if r["line_offset"] >= n * (3 << 20)]
+    assert [tuple(r)[3:7] + (r["message"],) for r in got] == [
+        (6, "2024-01-06 02:27:39.152", "DEBUG", "a.router", "hello\n" + "\n".join(lines[n + 1 : n + 6])),
+        (2, "2024-01-03 18:58:54.042", "INFO", "k", "a\nb ü \ufffd\n{"),
         (1, "2024-01-06 03:36:39.112", "ERROR", "w", 'say "x" level=debug'),
-        (1, "2024-01-05 10:22:47.001", "ERROR", "app", "boom"),
+        (1, "2024-01-05 22:37:36.000", "WARN", "gin", lines[n + 9]),
+        (1, "2024-01-06 23:51:31.000", "INFO", "nginx", lines[n + 10]),
+        (2, "2024-01-06 06:05:40.765", "INFO", "c.d.E", "body\n" + lines[n + 12]),
         (1, "2024-01-06 11:25:07.651", "FATAL", "r_store.go", "end"),
-        (1, "2024-01-05 22:37:36.000", "WARN", "gin", lines[9]),
-        (1, "2024-01-06 23:51:31.000", "INFO", "nginx", lines[10]),
-        (1, "2024-01-06 02:27:48.460", "FATAL", "j-r", "msg|more"),
-        (1, "2024-01-06 03:36:40.553", "WARN", "b::kettle", "text: more"),
-        (2, "2024-01-06 06:05:40.765", "INFO", "c.d.E", "body\n" + lines[14]),
     ]
+    # without a generation, and without a receipt for a time that has no year
+    assert [r["level"] for r in fields.entries(df).where("generation is null").collect()] == ["DEBUG"] and fields.entries(df).where("file is null").count() == 0
     assert fields.entries(df.where("false")).count() == 0
 
 
 def test_rare_methods_are_heads(spark):
-    at = datetime(2024, 1, 8)
     methods = ["GET"] * 2500 + ["POST"] * 500 + ["OPTIONS", "PATCH", "HEAD"]
     lines = [f'10.8.1.2 - - [07/Jan/2024:00:51:31 +0000] "{m} /x HTTP/1.1" 200 8 "-" "t"' for m in methods]
     lines += ['10.8.1.2 - - [07/Jan/2024:00:51:31 +0000] "quit" 400 8 "-" "-"', '10.8.1.2 - - [07/Jan/2024:00:51:31 +0000] unquoted 400 8']
-    rows = [("f", 0, i * 100, x, None, at) for i, x in enumerate(lines)]
-    df = spark.createDataFrame(rows, "file string, generation int, line_offset long, line string, discard_bytes long, read_at timestamp_ntz")
-    got = {r["line_offset"] // 100: (r["n_lines"], r["component"]) for r in fields.entries(df).collect()}
+    got = {r["line_offset"] // 100: (r["n_lines"], r["component"]) for r in fields.entries(placed(spark, lines)).collect()}
     assert got == {i: (1 + (i == len(lines) - 2), "nginx") for i in range(len(lines) - 1)}
