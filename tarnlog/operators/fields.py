@@ -132,9 +132,10 @@ Roles = tuple[int, int, int, int, str, bool]
 def tokens_of(line: str) -> tuple[list[Token], list[int]]:
     """(type, separator, word) of the first tokens of a line, and where each token and its separator end.
 
-    Only words keep their own text.
+    Only words keep their own text. Two words in a row are text, which no head goes beyond.
     """
     out, ends = [], []
+    before = ""
     for m in _TOKEN.finditer(line):
         kind = m.lastgroup
         end, after = m.end(kind), m.end()
@@ -143,8 +144,9 @@ def tokens_of(line: str) -> tuple[list[Token], list[int]]:
             sep = _SPACES.sub(" ", sep)
         out.append((kind, sep, line[m.start() : end] if kind == "W" and end - m.start() <= 20 else ""))
         ends.append(after)
-        if len(out) == HEAD_TOKENS:
+        if len(out) == HEAD_TOKENS or kind == before == "W":
             break
+        before = kind
     return out, ends
 
 

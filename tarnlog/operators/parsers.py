@@ -1,39 +1,46 @@
 """Line parsers: a column of text becomes a struct of fields, or null where no record starts.
 
 A parser is a function ``Column -> Column`` of type ``struct<timestamp, level, trace_id,
-span_id, thread, logger, message>``. Everything is built from native expressions, so parsing
-stays inside code generation and a chain tries its parsers lazily, in order.
+span_id, thread, logger, message>``. Everything is built from native expressions, and a chain
+tries its parsers lazily, in order. A line is matched once: the match rewrites its head to fields
+with a separator between them, and the text behind the head is never part of a group.
+
+:func:`head_message` is the same test for the stream's state, which holds lines one by one; it is
+made from the same patterns.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tarnlog.functions.ids import normalise_span_id, normalise_trace_id
-from tarnlog.functions.text import strip
-from tarnlog.functions.timefmt import month_number, offset_minutes, wall_clock
+from tarnlog.functions.text import WHITE, strip
+from tarnlog.functions.timefmt import MONTHS, month_number, offset_minutes, wall_clock
 
 Parser = Callable[[Column], Column]
 
 #: White space as the default layout separates its fields: Unicode White_Space, spelled out.
-SPACE = r"[\t\n\x0B\f\r\x20\x85\xA0  -     　]"
+SPACE = "[" + "".join(f"\\u{ord(c):04x}" for c in WHITE) + "]"
 NOT_SPACE = SPACE.replace("[", "[^", 1)
+#: Stands between the fields of a rewritten head; it is no character of any text.
+MARK = "\uffff"
 
-#: Fixed value: the layout of an application line, in Java's dialect. Groups: time, trace, span,
-#: thread, level, logger, message.
+#: Fixed value: the head of an application line, up to its message. Groups: time, trace, span,
+#: thread, level, logger.
 LOGBACK = (
-    r"(?s)^([0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(?:[.,][0-9]{1,9})?)"
+    r"^([0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(?:[.,][0-9]{1,9})?)"
     rf"{SPACE}+(?:\[TID:([^\]]*)\]{SPACE}*)?(?:\[SpanID:([^\]]*)\]{SPACE}*)?(?:\[([^\]]*)\]{SPACE}*)?"
-    rf"\[?([A-Z]+)\]?{SPACE}+({NOT_SPACE}+){SPACE}*-?{SPACE}?(.*)\z"
+    rf"\[?([A-Z]+)\]?{SPACE}+({NOT_SPACE}+){SPACE}*-?{SPACE}?"
 )
-_GIN = r"(?s)^\[GIN\]([^|]*)\|([^|]*)(?:\|.*)?\z"
-_GIN_TIME = r"^([0-9]{4})/([0-9]{2})/([0-9]{2}) - ([0-9]{2}):([0-9]{2}):([0-9]{2})\z"
-_NGINX_REST = r"(?s)^([^\]]*)\] \"[^\"]*\" ([^ ]+)(?: .*)?\z"
-_CLF_TIME = r"^([0-9]{2})/([A-Z][a-z]{2})/([0-9]{4}):([0-9]{2}):([0-9]{2}):([0-9]{2})(?: ([+-][0-9]{4}))?\z"
+#: Access lines. Groups: year, month, day, clock; status. For nginx day, month, year,
+#: clock, offset; status, of the text behind the first `` [``.
+GIN = rf"(?s)^\[GIN\]{SPACE}*([0-9]{{4}})/([0-9]{{2}})/([0-9]{{2}}) - ([0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}){SPACE}*\|{SPACE}*(\+?[0-9]{{1,9}}){SPACE}*(?:\|.*)?\z"
+NGINX = r"(?s)^([0-9]{2})/([A-Z][a-z]{2})/([0-9]{4}):([0-9]{2}:[0-9]{2}:[0-9]{2})(?: ([+-][0-9]{4}))?\] \"[^\"]*\" (\+?[0-9]{1,9})(?: .*)?\z"
 
 
 def record(timestamp: Column, level: Column, trace_id: Column, span_id: Column, thread: Column, logger: Column, message: Column) -> Column:
@@ -41,6 +48,20 @@ def record(timestamp: Column, level: Column, trace_id: Column, span_id: Column,
     return F.struct(*[v.alias(k) for k, v in named.items()])
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _rewritten(line: Column, pattern: str, groups: int) -> Column:
+    """``["", group 1, ..., rest]`` of a line that the pattern matches from its start, else one element.
+
+    A mark in the line itself becomes U+FFFD, as other bytes that are no text.
+    """
+    to = MARK + "".join(f"${i}{MARK}" for i in range(1, groups + 1))
+    return F.split(F.regexp_replace(F.replace(line, F.lit(MARK), F.lit("\ufffd")), pattern, to), MARK, groups + 2)
+
+
 def logback_time(text: Column) -> Column:
     """The wall clock value of ``YYYY-MM-DD[ T]HH:MM:SS[.,]f{1,9}``; null if the calendar lacks it."""
     shape = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(?:[.,][0-9]{1,9})?\z"
@@ -49,13 +70,14 @@ def logback_time(text: Column) -> Column:
 
 def logback(ingest_time: Column) -> Parser:
     """Application lines. A time of the right shape that the calendar lacks becomes ``ingest_time``."""
+    now = ingest_time.cast("timestamp_ntz")
 
-    def parse(line: Column) -> Column:
-        g = lambda i: F.regexp_extract(line, LOGBACK, i)
-        ts = F.coalesce(logback_time(g(1)), ingest_time.cast("timestamp_ntz"))
-        return F.when(line.rlike(LOGBACK), record(ts, g(5), normalise_trace_id(g(2)), normalise_span_id(g(3)), strip(g(4)), g(6), g(7)))
+    def fields(f: Column) -> Column:
+        ts = F.coalesce(F.translate(f[1], ",", ".").try_cast("timestamp_ntz"), now)
+        return F.when(F.size(f) == 8, record(ts, f[5], normalise_trace_id(f[2]), normalise_span_id(f[3]), strip(f[4]), f[6], f[7]))
 
-    return parse
+    # the first characters tell most other lines, before any pattern
+    return lambda line: F.when(F.substring(line, 5, 1) == "-", _once(_rewritten(line, LOGBACK, 6), fields))
 
 
 def custom(pattern: str, ingest_time: Column) -> Parser:
@@ -85,42 +107,77 @@ def custom(pattern: str, ingest_time: Column) -> Parser:
     return parse
 
 
+def _python(pattern: str) -> re.Pattern:
+    return re.compile(pattern.replace("\\z", "\\Z"))
+
+
+def _exists(y: str, mo: str, d: str, clock: str) -> bool:
+    try:
+        datetime.fromisoformat(f"{y}-{mo}-{d} {clock}")
+    except ValueError:
+        return False
+    return True
+
+
+def head_message(formats: list[str], pattern: str | None = None) -> Callable[[str], str | None]:
+    """A function of a line: its message if it opens a record in one of the formats, else None."""
+    layout, gin_line, nginx_line = _python(LOGBACK), _python(GIN), _python(NGINX)
+    own = re.compile(pattern.replace("\\z", "\\Z")) if pattern else None
+    status = lambda x: int(x) <= 65535
+
+    def by_logback(line: str) -> str | None:
+        if own is not None:
+            m = own.search(line)
+            return None if m is None else (m["message"] or "") if "message" in own.groupindex else line[m.end() :]
+        m = layout.match(line)
+        return None if m is None else line[m.end() :]
+
+    def by_gin(line: str) -> str | None:
+        m = gin_line.match(line)
+        return line if m and _exists(*m.group(1, 2, 3, 4)) and status(m[5]) else None
+
+    def by_nginx(line: str) -> str | None:
+        at = line.find(" [")
+        m = nginx_line.match(line[at + 2 :]) if at >= 0 else None
+        if not m or m[2] not in MONTHS or not status(m[6]) or not _exists(m[3], f"{MONTHS.index(m[2]) + 1:02d}", m[1], m[4]):
+            return None
+        return line if not m[5] or (int(m[5][1:3]) < 24 and int(m[5][3:]) < 60) else None
+
+    tests = [{"logback": by_logback, "gin": by_gin, "nginx": by_nginx}[f] for f in formats]
+    return lambda line: next((m for t in tests if (m := t(line)) is not None), None)
+
+
 def status_level(status: Column) -> Column:
     return F.when(status >= 500, "ERROR").when(status >= 400, "WARN").otherwise("INFO")
 
 
-def _status(text: Column) -> Column:
-    """An integer from 0 to 65535, a plus sign and zeros before it allowed; else null."""
-    number = F.when(text.rlike(r"^\+?[0-9]{1,9}\z"), F.regexp_replace(text, r"^\+", "").try_cast("int"))
-    return F.when(number <= 65535, number)
+def _access(line: Column, clock: Column, status: Column, logger: str) -> Column:
+    none = F.lit("")
+    number = F.regexp_replace(status, r"^\+", "").try_cast("int")
+    return _once(F.struct(clock.alias("at"), number.alias("status")), lambda x: F.when(x["at"].isNotNull() & (x["status"] <= 65535), record(x["at"], status_level(x["status"]), none, none, none, F.lit(logger), line)))
 
 
-def _access(line: Column, ts: Column, status: Column, logger: str) -> Column:
-    none = F.lit("")
-    return F.when(ts.isNotNull() & status.isNotNull(), record(ts, status_level(status), none, none, none, F.lit(logger), line))
+def _clock(y: Column, mo: Column, d: Column, time: Column) -> Column:
+    return F.concat_ws("-", y, mo, F.concat(d, F.lit(" "), time)).try_cast("timestamp_ntz")
 
 
 def gin(line: Column) -> Column:
     """``[GIN] date - time | status | ...``; the message is the whole line."""
-    time = strip(F.regexp_extract(line, _GIN, 1))
-    g = lambda i: F.regexp_extract(time, _GIN_TIME, i)
-    return F.when(line.startswith("[GIN]"), _access(line, wall_clock(*[g(i) for i in range(1, 7)]), _status(strip(F.regexp_extract(line, _GIN, 2))), "gin"))
+    return F.when(line.startswith("[GIN]"), _once(_rewritten(line, GIN, 5), lambda f: F.when(F.size(f) == 7, _access(line, _clock(f[1], f[2], f[3], f[4]), f[5], "gin"))))
 
 
-def clf_time(text: Column) -> Column:
-    """``dd/Mon/yyyy:HH:MM:SS [+hhmm]`` in the session's zone; without an offset, as printed."""
-    g = lambda i: F.regexp_extract(text, _CLF_TIME, i)
-    clock = wall_clock(g(3), month_number(g(2)), g(1), g(4), g(5), g(6))
-    utc = clock - F.make_dt_interval(F.lit(0), F.lit(0), offset_minutes(g(7)))
-    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), utc)
-    return F.when(text.rlike(_CLF_TIME), F.when(g(7) == "", clock).otherwise(local))
+def _local(clock: Column, offset: Column) -> Column:
+    """A clock reading in the session's zone; without an offset, as printed; null for one that is none."""
+    utc = clock - F.make_dt_interval(F.lit(0), F.lit(0), offset_minutes(offset))
+    return F.when(offset == "", clock).otherwise(F.convert_timezone(F.lit("UTC"), F.current_timezone(), utc))
 
 
 def nginx(line: Column) -> Column:
     """Combined access lines; only the first `` [`` may open the time."""
     at = F.locate(" [", line)
-    rest = F.when(at > 0, F.substring(line, at + 2, F.length(line)))
-    return F.when(at > 0, _access(line, clf_time(F.regexp_extract(rest, _NGINX_REST, 1)), _status(F.regexp_extract(rest, _NGINX_REST, 2)), "nginx"))
+    rest = F.substring(line, at + 2, F.length(line))
+    fields = lambda f: F.when(F.size(f) == 8, _access(line, _local(_clock(f[3], F.lpad(month_number(f[2]).cast("string"), 2, "0"), f[1], f[4]), f[5]), f[6], "nginx"))
+    return F.when((at > 0) & F.substring(line, at + 4, 1).eqNullSafe("/"), _once(_rewritten(rest, NGINX, 6), fields))
 
 
 def chain(*parsers: Parser) -> Parser:
