@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
+#: Names of sections and keys.
 _SECTIONS: dict[str, dict[str, Any]] = {
     "source": {},
     "parser": {"formats": ["logback"], "pattern": None, "max_message_lines": 500, "max_message_bytes": 262_144},
@@ -17,7 +18,7 @@ _SOURCES: dict[str, dict[str, Any]] = {
     "file": {"include": None, "exclude": [], "data_dir": None, "read_from_beginning": True, "glob_interval_secs": 10, "host": None, "container_format": "raw"},
     "kubernetes": {
         "namespaces": [], "pods": [], "containers": [], "exclude_namespaces": [], "exclude_pods": [], "exclude_containers": [],
-        "exclude_self": True, "service_name_label": "app", "log_dir": "/var/log/pods", "data_dir": None,
+        "exclude_self": True, "service_name_label": "app", "api": None, "log_dir": "/var/log/pods", "data_dir": None,
         "read_from_beginning": False, "glob_interval_secs": 10, "host": None,
     },
 }
@@ -61,6 +62,8 @@ def parse(config: dict) -> dict:
         raise ConfigError("source: include must name at least one pattern")
     if out["sink"]["type"] == "clickhouse" and not all(out["sink"][k] for k in ("endpoint", "database", "table")):
         raise ConfigError("sink: endpoint, database and table are needed")
+    if out["sink"].get("cluster"):
+        raise ConfigError("sink: cluster has no counterpart; the table is spread by Spark")
     if out["parser"]["max_message_lines"] < 1 or out["parser"]["max_message_bytes"] < 1:
         raise ConfigError("parser: limits must be above 0")
     if out["pipeline"]["on_error"] not in ("stop", "drop"):

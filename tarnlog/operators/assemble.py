@@ -4,7 +4,8 @@ A continuation is kept while the event has fewer than ``max_lines`` lines and it
 under ``max_bytes``; the first that does not fit seals the event, and all later ones are dropped
 and counted. A sealed event that lost something ends with a marker line. The head itself is never
 limited. Lines before the first head are events of their own. A row with ``discard_bytes``
-stands for an over-long line that the source dropped: it seals, and counts as one line.
+stands for an over-long line that the source dropped: it seals, and counts as one line; with
+nothing open, lines are dropped up to the next head, without a trace.
 """
 
 from __future__ import annotations
@@ -41,8 +42,12 @@ def assemble(
     head = F.when(F.col("discard_bytes").isNull(), parser(F.col("content")))
     parsed = lines.withColumn("rec", head)
     placed = carry_last(parsed, list(keys), "offset", F.when(F.col("rec").isNotNull(), F.col("offset")), "event")
-    # an orphan is its own event; discards before a head belong to none
-    placed = placed.where("event is not null or discard_bytes is null").withColumn("orphan", F.col("event").isNull())
+    # an orphan is its own event; discards before a head belong to none, and what follows them up
+    # to the next head is the rest of a lost line
+    lost = lines.where("discard_bytes is not null").groupBy(*keys).agg(F.min("offset").alias("__lost"))
+    here = [F.col(f"p.{k}").eqNullSafe(F.col(f"d.{k}")) for k in keys]
+    placed = placed.alias("p").join(lost.alias("d"), here, "left").select("p.*", "d.__lost")
+    placed = placed.where("event is not null or (discard_bytes is null and (__lost is null or offset < __lost))").drop("__lost").withColumn("orphan", F.col("event").isNull())
     placed = placed.withColumn("event", F.coalesce("event", "offset"))
     size = F.octet_length("content").cast("long")
     by_event = Window.partitionBy(*keys, "orphan", "event").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)

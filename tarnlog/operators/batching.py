@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -53,11 +55,30 @@ def backoff_column(attempt: Column, policy: RetryPolicy = RetryPolicy()) -> Colu
 
 
 def number_batches(events: DataFrame, order: list[str], size: Column, policy: BatchPolicy, keys: list[str]) -> DataFrame:
-    """Add ``batch``: events of a key cut by count, in order; for replaying deliveries in batch mode."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    by_count = F.floor((F.row_number().over(w) - 1) / policy.max_events)
-    by_size = F.floor((F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1) / policy.max_bytes)
-    return events.withColumn("batch", F.greatest(by_count, by_size).cast("long"))
+    """Add ``batch``: events of a key, in order, cut where a batch reaches its number of events or bytes.
+
+    A batch closes at the first of the limits and the next starts anew, so a number depends on all
+    events before: the rows of a key are passed through one task, in Arrow batches, and only the
+    open batch's two sums are kept.
+    """
+    ordered = events.withColumn("__size", F.coalesce(size, F.lit(0)).cast("long")).withColumn("__key", F.xxhash64(*[F.col(k) for k in keys])).repartition("__key").sortWithinPartitions("__key", *order)
+    most_events, most_bytes = policy.max_events, policy.max_bytes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, number, n, total = None, 0, 0, 0
+        for batch in batches:
+            out = []
+            for key, more in zip(batch.column("__key").to_pylist(), batch.column("__size").to_pylist()):
+                if key != last:
+                    last, number, n, total = key, 0, 0, 0
+                elif n >= most_events or total >= most_bytes:
+                    number, n, total = number + 1, 0, 0
+                n, total = n + 1, total + more
+                out.append(number)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(out, pa.int64())], schema=pa.schema([*list(batch.schema)[:-2], pa.field("batch", pa.int64())]))
+
+    made = T.StructType([*events.schema.fields, T.StructField("batch", T.LongType())])
+    return ordered.mapInArrow(run, made)
 
 
 def advance(saved: int, acked: int) -> int:

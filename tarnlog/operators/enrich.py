@@ -7,17 +7,19 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnlog.runtime import broadcast_if_small
 from tarnlog.schema import check_fields
 
-#: ``<ns>_<pod>_<uid>/<container>/x``, the first and the last ``_`` divide.
+#: Fixed forms of log paths: ``<ns>_<pod>_<uid>/<container>/x``, the first and the last ``_`` divide.
 _PODS = r"(?:^|/)([^/_]+)_([^/]+)_([^/_]*)/([^/]+)/[^/]+\z"
 #: ``<pod>_<ns>_<container>-<id>.log``, the first two ``_`` and the last ``-`` divide.
 _CONTAINERS = r"(?:^|/)([^/_]+)_([^/_]+)_([^/]+)-([^/-]+)\.log\z"
 #: Most rows of a label table that are broadcast; beyond it Spark chooses the join.
 LABELS_BROADCAST_ROWS = 200_000
 
+#: Files that are never read.
 SKIPPED_EXTENSIONS = ("gz", "zst", "xz", "bz2", "zip", "tmp")
 
 
@@ -125,11 +127,29 @@ def transform(df: DataFrame, *steps: Callable[[DataFrame], DataFrame]) -> DataFr
     return df
 
 
-def estimated_size(columns: Iterable[str], extra: dict[str, Column] | None = None) -> Column:
-    """Bytes of the record as JSON, roughly: its strings, its extra entries, and 160."""
+def value_size(value: Column, kind: T.DataType) -> Column:
+    """Bytes of a value of an extra entry, roughly; a number takes 8, a list or an object the sum of its parts."""
+    if isinstance(kind, T.BooleanType):
+        size = F.lit(5)
+    elif isinstance(kind, T.NumericType):
+        size = F.lit(8)
+    elif isinstance(kind, T.ArrayType):
+        size = F.aggregate(F.transform(value, lambda x: value_size(x, kind.elementType)), F.lit(0).cast("long"), lambda a, x: a + x + 1) + 2
+    elif isinstance(kind, T.MapType):
+        entry = lambda e: F.octet_length(e["key"].cast("string")) + value_size(e["value"], kind.valueType) + 4
+        size = F.aggregate(F.transform(F.map_entries(value), entry), F.lit(0).cast("long"), lambda a, x: a + x) + 2
+    elif isinstance(kind, T.StructType):
+        size = sum((value_size(value[f.name], f.dataType) + len(f.name.encode()) + 4 for f in kind.fields), F.lit(2))
+    else:
+        size = F.octet_length(value.cast("string")) + 2
+    return F.when(value.isNull(), 4).otherwise(size).cast("long")
+
+
+def estimated_size(df: DataFrame, strings: Iterable[str], extra: Iterable[str] = ()) -> Column:
+    """Bytes of the record as JSON, roughly: its strings, its extra entries with their keys, and 160."""
     total = F.lit(160).cast("long")
-    for c in columns:
+    for c in strings:
         total = total + F.coalesce(F.octet_length(F.col(c)), F.lit(0))
-    for key, value in (extra or {}).items():
-        total = total + F.when(value.isNull(), 0).otherwise(F.octet_length(value.cast("string")) + 2 + len(key.encode()) + 4)
+    for key in extra:
+        total = total + value_size(F.col(key), df.schema[key].dataType) + len(key.encode()) + 4
     return total

@@ -7,15 +7,20 @@ time. Lines without the shell are content as they are and leave open parts alone
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlog.operators.sequence import carry_last
 
-CRI = r"(?s)^([^ ]*) (stdout|stderr) ([PF])(?::[^ ]*)?(?: (.*))?\z"
+CRI_HEAD = r"^[^ ]* (?:stdout|stderr) [PF](?::[^ ]*)?(?: |\z)"
 _RFC3339 = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]{1,9})?(?:Z|[+-][0-9]{2}:[0-9]{2})\z"
 
 
+def runtime_time(text: Column) -> Column:
+    """The wall clock value, in the session's zone, of the time that a runtime prints; null for other texts."""
+    return F.when(text.rlike(_RFC3339), text.try_cast("timestamp").cast("timestamp_ntz"))
+
+
 def decode(lines: DataFrame, shell: str = "cri") -> DataFrame:
     """Add ``content, stream, shell_time, tag``; ``shell`` is ``raw`` or ``cri``.
 
@@ -27,15 +32,17 @@ def decode(lines: DataFrame, shell: str = "cri") -> DataFrame:
     if shell != "cri":
         raise ValueError("container_format: raw or cri")
     line = F.col("line")
-    is_shell = line.rlike(CRI)
-    g = lambda i: F.regexp_extract(line, CRI, i)
-    time = F.when(g(1).rlike(_RFC3339), g(1).try_cast("timestamp").cast("timestamp_ntz"))
-    return lines.select(
-        "*",
-        F.when(is_shell, g(4)).otherwise(line).alias("content"),
-        F.when(is_shell, g(2)).alias("stream"),
-        F.when(is_shell, time).alias("shell_time"),
-        F.when(is_shell, g(3)).alias("tag"),
+    # cut at the first three spaces: the content is what stands behind them, and is never matched
+    parts = F.split(line, " ", 4)
+    cut = lines.select("*", F.when(line.rlike(CRI_HEAD), parts).alias("__shell"))
+    time = runtime_time(F.col("__shell")[0])
+    is_shell = F.col("__shell").isNotNull()
+    return cut.select(
+        *lines.columns,
+        F.when(is_shell, F.coalesce(F.try_element_at("__shell", F.lit(4)), F.lit(""))).otherwise(line).alias("content"),
+        F.col("__shell")[1].alias("stream"),
+        time.alias("shell_time"),
+        F.substring(F.col("__shell")[2], 1, 1).alias("tag"),
     )
 
 

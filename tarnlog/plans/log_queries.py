@@ -13,6 +13,7 @@ from tarnlog.operators import assemble, batching, enrich, parsers, shell
 from tarnlog.pipeline import Pipeline
 from tarnlog.plans import served
 from tarnlog.runtime import table
+from tarnlog.sinks import table as sink_table
 from tarnlog.sinks.encode import json_rows, text_rows, timestamp_text, timestamp_with_offset
 from tarnlog.schema import CORE
 
@@ -136,11 +137,11 @@ CHUNK = 50
 
 
 def cri_partial_join(s, d):
-    text = F.coalesce("text", F.lit(""))
-    docs = table(s, d, "documents").select("doc_id", text.alias("t"), F.greatest(F.ceil(F.length(text) / CHUNK), F.lit(1)).alias("n"))
-    parts = docs.select("doc_id", "n", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.struct(i.alias("i"), F.substring(F.col("t"), (i * CHUNK + 1).cast("int"), F.lit(CHUNK)).alias("c")))).alias("p"))
-    tag = F.when(F.col("p.i") == F.col("n") - 1, "F").otherwise("P")
-    lines = parts.select(F.col("doc_id").alias("file"), F.lit(0).alias("generation"), F.col("p.i").alias("offset"), F.concat(F.lit("2024-05-01T10:00:00.000000000Z stdout "), tag, F.lit(" "), F.col("p.c")).alias("line"))
+    chunks = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    docs = table(s, d, "documents").select("doc_id", F.when(F.size(chunks) > 0, chunks).otherwise(F.array(F.lit(""))).alias("c"))
+    parts = docs.select("doc_id", F.size("c").alias("n"), F.posexplode("c").alias("i", "c"))
+    tag = F.when(F.col("i") == F.col("n") - 1, "F").otherwise("P")
+    lines = parts.select(F.col("doc_id").alias("file"), F.lit(0).alias("generation"), F.col("i").cast("long").alias("offset"), F.concat(F.lit("2024-05-01T10:00:00.000000000Z stdout "), tag, F.lit(" "), F.col("c")).alias("line"))
     return shell.join_parts(shell.decode(lines, "cri")).select(F.col("file").alias("doc_id"), F.col("content").alias("text"), "stream")
 
 
@@ -191,8 +192,10 @@ def timestamp_offset(s, d):
 
 
 def estimated_size(s, d):
-    size = enrich.estimated_size([c for c in CORE if c != "timestamp"], {"service_name": F.col("service_name")})
-    return _records(s, d).select("event_id", size.cast("long").alias("size"))
+    rows = _records(s, d).withColumn("shard", F.col("event_id") % 4).withColumn("canary", F.expr("event_id % 2 = 0"))
+    rows = rows.withColumn("zone", F.expr("case when event_id % 3 = 0 then null else 'z12' end")).withColumn("tags", F.expr("array(level, logger)"))
+    size = enrich.estimated_size(rows, [c for c in CORE if c != "timestamp"], ["service_name", "shard", "canary", "zone", "tags"])
+    return rows.select("event_id", size.alias("size"))
 
 
 def backoff_schedule(s, d):
@@ -201,7 +204,7 @@ def backoff_schedule(s, d):
 
 
 def batch_numbers(s, d):
-    policy = batching.BatchPolicy(max_events=40, max_bytes=1 << 40)
+    policy = batching.BatchPolicy(max_events=40, max_bytes=900)
     out = batching.number_batches(_records(s, d), ["timestamp", "event_id"], F.octet_length("message"), policy, ["service_name"])
     return out.groupBy("service_name", "batch").agg(F.count(F.lit(1)).alias("n"))
 
@@ -252,14 +255,15 @@ def token_index_top(s, d):
 
 
 def events_per_day(s, d):
-    logs = table(s, d, "log_events")
-    return logs.groupBy(F.date_format("timestamp", "yyyy-MM-dd").alias("day"), "level").agg(F.count(F.lit(1)).alias("n"))
+    """Rows of each day partition, as the table is laid out."""
+    logs = sink_table.laid_out(table(s, d, "log_events").select("timestamp", "level", "service_name", "trace_id"))
+    return logs.groupBy(F.date_format("event_date", "yyyy-MM-dd").alias("day"), "level").agg(F.count(F.lit(1)).alias("n"))
 
 
 def schema_missing_columns(s, d):
-    have = table(s, d, "log_events").columns
-    want = [*CORE, "stream", "namespace", "pod", "container", "service_name", "region_code"]
-    return s.createDataFrame([(c,) for c in sorted(set(want) - set(have))], "column_name string")
+    table(s, d, "log_events").createOrReplaceTempView("tarnlog_events")
+    lacking = sink_table.missing_columns(s, "tarnlog_events", [*CORE, "stream", "namespace", "pod", "container", "service_name", "region_code"])
+    return s.createDataFrame([(c,) for c in lacking], "column_name string")
 
 
 def transform_filter(s, d):
@@ -343,12 +347,17 @@ ORACLE = {
     "text_render": f"select concat({MS_D}, ' [TID:', trace_id, '] [SpanID:', span_id, '] [', thread, '] ', rpad(level, 5, ' '), ' ', logger, ' -', message) as value from ({_REC})",
     "timestamp_offset": f"select event_id, concat({MS_D}, '+08:00') as stamped from events",
     "estimated_size": f"""select event_id, cast(160 + strlen(level) + strlen(trace_id) + strlen(span_id) + strlen(thread) + strlen(logger) + strlen(message) + strlen(file) + strlen(host)
-        + strlen(service_name) + 2 + 12 + 4 as bigint) as size from ({_REC})""",
+        + strlen(service_name) + 2 + 12 + 4 + 8 + 5 + 4 + 5 + 6 + 4 + case when event_id % 3 = 0 then 4 else 5 end + 4 + 4
+        + 2 + strlen(level) + 2 + 1 + strlen(logger) + 2 + 1 + 4 + 4 as bigint) as size from ({_REC})""",
     "backoff_schedule": "select cast(n_nationkey + 1 as bigint) as attempt, cast(least(30000, 500 * pow(2, n_nationkey)) as bigint) as wait_ms from nation",
-    "batch_numbers": f"""select service_name, cast((k - 1) // 40 as bigint) as batch, count(*) as n from
-        (select service_name, row_number() over (partition by service_name order by ts, event_id) as k from ({_REC})) group by all""",
+    "batch_numbers": f"""with recursive r as (select service_name, strlen(message) as size, row_number() over (partition by service_name order by ts, event_id) as k from ({_REC})),
+        w as (select service_name, k, cast(0 as bigint) as batch, cast(1 as bigint) as n, cast(size as bigint) as total from r where k = 1
+          union all select r.service_name, r.k, w.batch + case when w.n >= 40 or w.total >= 900 then 1 else 0 end,
+            case when w.n >= 40 or w.total >= 900 then 1 else w.n + 1 end, case when w.n >= 40 or w.total >= 900 then r.size else w.total + r.size end
+          from w join r on r.service_name = w.service_name and r.k = w.k + 1)
+        select service_name, batch, count(*) as n from w group by all""",
     "errors_by_service": f"select service_name, count(*) as n_errors from ({_REC}) where level = 'ERROR' group by service_name",
-    "errors_by_service_logs": "select service_name, count(*) as n_errors from log_events where level = 'ERROR' and timestamp >= timestamp '2024-01-02' and timestamp < timestamp '2024-01-05' group by service_name",
+    "errors_by_service_logs": "select service_name, count(*) as n_errors from log_events where level = 'ERROR' and timestamp >= timestamp '2024-01-02' and timestamp <= timestamp '2024-01-05' group by service_name",
     "trace_lookup": f"select event_id, trace_id, {MS_D} as timestamp from ({_REC}) where trace_id = 'c4ca4238a0b923820dcc509a6f75849b'",
     "trace_window": "select row_id, trace_id from log_events where trace_id = '048892bae5668f36d5ef7582d6489852' and timestamp between timestamp '2024-01-01 00:07:00' and timestamp '2024-01-01 00:11:00'",
     "keyword_token": r"select row_id from log_events where list_contains(regexp_split_to_array(lower(message), '[\x00-\x2f\x3a-\x60\x7b-\x7f]+'), 'lease')",

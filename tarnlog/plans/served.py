@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 
 def between(events: DataFrame, start: str, end: str) -> DataFrame:
-    """Rows of a time window; the day partition is filtered too where the table has one."""
+    """Rows of a time window, both ends included; the day partition is filtered too where the table has one."""
     ts = F.col("timestamp")
     lo, hi = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
-    keep = (ts >= lo) & (ts < hi)
+    keep = ts.between(lo, hi)
     if "event_date" in events.columns:
         keep = keep & F.col("event_date").between(F.lit(start[:10]).cast("date"), F.lit(end[:10]).cast("date"))
     return events.where(keep)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+#: Names and order of the record's columns.
 CORE = ["timestamp", "level", "trace_id", "span_id", "thread", "logger", "message", "file", "host"]
 SHARED = ["stream", "namespace", "pod", "container", "service_name"]
-#: Order of the columns of a table; static fields stand before ``file``.
+#: Order of the columns of a table; static fields stand before ``file``.
 TABLE_ORDER = ["timestamp", "service_name", "level", "logger", "thread", "trace_id", "span_id", "namespace", "pod", "container", "stream", "host", "file", "message"]
 
 RAW_LINE = T.StructType(

@@ -11,6 +11,8 @@ from tarnlog.schema import CORE, ordered
 
 RETENTION_DAYS = 30
 SORT_KEY = ["service_name", "timestamp", "level", "trace_id"]
+#: Names of the table properties that hold the retention in days and the order of rows.
+RETENTION, SORTED_BY = "tarnlog.retention_days", "tarnlog.sorted_by"
 _TYPES = {"timestamp": "TIMESTAMP_NTZ"}
 
 
@@ -19,12 +21,16 @@ def field_type(value: object) -> str:
     return "BOOLEAN" if isinstance(value, bool) else "BIGINT" if isinstance(value, int) else "DOUBLE" if isinstance(value, float) else "STRING"
 
 
-def ddl(name: str, extra: dict[str, str] | None = None) -> list[str]:
-    """Statements that make the table, and that bring an older one up to date. Safe to repeat."""
+def ddl(name: str, extra: dict[str, str] | None = None, days: int = RETENTION_DAYS) -> list[str]:
+    """Statements that make the table, and that bring an older one's properties up to date. Safe to repeat.
+
+    ``upgrade`` also adds the columns that an older table lacks.
+    """
     types = {**dict.fromkeys(CORE, "STRING"), **(extra or {}), **_TYPES}
     body = ",\n".join(f"  `{c}` {types[c]}" for c in ordered(list(types)))
     create = f"CREATE TABLE IF NOT EXISTS {name} (\n{body},\n  `event_date` DATE\n)\nUSING parquet\nPARTITIONED BY (event_date)"
-    return [create]
+    keys = [c for c in SORT_KEY if c in types]
+    return [create, f"ALTER TABLE {name} SET TBLPROPERTIES ('{RETENTION}' = '{days}', '{SORTED_BY}' = '{','.join(keys)}')"]
 
 
 def missing_columns(spark: SparkSession, name: str, expected: Iterable[str]) -> list[str]:
@@ -75,8 +81,11 @@ def expired(partitions: Iterable[str], today: str, days: int = RETENTION_DAYS) -
     return [p for p in partitions if date.fromisoformat(p.split("=", 1)[1]) < limit]
 
 
-def drop_expired(spark: SparkSession, name: str, today: str, days: int = RETENTION_DAYS) -> list[str]:
-    """Drop whole day partitions past the retention."""
+def drop_expired(spark: SparkSession, name: str, today: str, days: int | None = None) -> list[str]:
+    """Drop whole day partitions past the retention, by default the one of the table's properties."""
+    if days is None:
+        found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+        days = int(found.get(RETENTION, RETENTION_DAYS))
     old = expired([r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()], today, days)
     for p in old:
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (event_date='{p.split('=', 1)[1]}')")

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import glob
 import os
+import sys
+import threading
+import time
 from collections.abc import Iterable
+from typing import BinaryIO
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlog.operators.enrich import SKIPPED_EXTENSIONS, glob_regex, readable
@@ -31,6 +35,11 @@ def discover(includes: Iterable[str], excludes: Iterable[str] = ()) -> list[str]
     return sorted(found, key=lambda p: (found[p], p))
 
 
+def _path(uri: Column) -> Column:
+    """The plain path of a local file; other addresses stay as they are."""
+    return F.when(uri.startswith("file:/"), F.url_decode(F.replace(F.regexp_replace(uri, "^file:/+", "/"), F.lit("+"), F.lit("%2B")))).otherwise(uri)
+
+
 def read_lines(spark: SparkSession, paths: str | list[str], host: str | None = None, excludes: Iterable[str] = ()) -> DataFrame:
     """``file, generation, offset, line, discard_bytes[, host]`` of whole files.
 
@@ -38,7 +47,7 @@ def read_lines(spark: SparkSession, paths: str | list[str], host: str | None = N
     U+FFFD. ``offset`` orders the lines of a file: the reader yields them in file order inside
     partitions that it numbers in file order too.
     """
-    text = spark.read.option("lineSep", "\n").text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    text = spark.read.option("lineSep", "\n").text(paths).select("value", _path(F.col("_metadata.file_path")).alias("file"), F.col("_metadata.file_block_start").alias("start"))
     text = readable(text, excludes)
     lines = text.select(
         "file",
@@ -52,6 +61,27 @@ def read_lines(spark: SparkSession, paths: str | list[str], host: str | None = N
 
 
 def lines_of(spark: SparkSession, lines: Iterable[str], file: str = "stdin") -> DataFrame:
-    """Raw lines of a Python iterable, as a pipe would give them."""
+    """Raw lines of a Python iterable, as a pipe would give them; for streams, see :func:`spool`."""
     rows = [(file, 0, i, x, None) for i, x in enumerate(lines)]
     return spark.createDataFrame(rows, "file string, generation int, offset long, line string, discard_bytes long")
+
+
+def spool(path: str, stream: BinaryIO | None = None, every: float = 0.5) -> threading.Thread:
+    """Copy a pipe, standard input by default, to a file that the tailing source follows.
+
+    What has arrived becomes visible at least every ``every`` seconds; the thread ends with the pipe.
+    """
+    source = stream or sys.stdin.buffer
+
+    def copy() -> None:
+        with open(path, "ab") as f:
+            shown = time.monotonic()
+            for line in source:
+                f.write(line if line.endswith(b"\n") else line + b"\n")
+                if time.monotonic() - shown >= every or not getattr(source, "peek", lambda n: b"")(1):
+                    f.flush()
+                    shown = time.monotonic()
+
+    thread = threading.Thread(target=copy, daemon=True)
+    thread.start()
+    return thread

@@ -5,7 +5,9 @@ their end arrives, and join the event as one line.
 
 The open event of a file is kept in the state store; it is emitted when the next head arrives,
 or when the file has been quiet for ``idle_ms``. State and source offsets are committed together,
-so an event that was open at a failure is still open after it.
+so an event that was open at a failure is still open after it. The rules are those of
+:mod:`tarnlog.operators.assemble`, and the head of an event is handed on as it was read: the one
+parser of batch and stream takes its fields out of it.
 """
 
 from __future__ import annotations
@@ -17,85 +19,74 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-#: What opens a record, by format.
-HEADS = {
-    "logback": r"[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(?:[.,][0-9]{1,9})?\s+(?:\[TID:[^\]]*\]\s*)?(?:\[SpanID:[^\]]*\]\s*)?(?:\[[^\]]*\]\s*)?\[?[A-Z]+\]?\s+\S+",
-    "gin": r"\[GIN\] *[0-9]{4}/[0-9]{2}/[0-9]{2} - [0-9]{2}:[0-9]{2}:[0-9]{2} *\| *\+?[0-9]{1,5} *(?:\||\Z)",
-    "nginx": r"(?:(?! \[).)*? \[[0-9]{2}/[A-Z][a-z]{2}/[0-9]{4}:[0-9]{2}:[0-9]{2}:[0-9]{2}(?: [+-][0-9]{4})?\] \"[^\"]*\" \+?[0-9]{1,5}(?: |\Z)",
-}
-HEAD = "^(?:" + HEADS["logback"] + ")"
-_SHELL = re.compile(r"([^ ]*) (?:stdout|stderr) ([PF])(?::[^ ]*)?(?: (.*))?\Z", re.S)
+from tarnlog.operators.parsers import head_message
+from tarnlog.operators.shell import CRI_HEAD
 
-
-def head_of(formats: list[str]) -> str:
-    """A pattern for the heads of all formats."""
-    return "^(?:" + "|".join(HEADS[f] for f in formats) + ")"
-
-EVENT = T.StructType(
-    [
-        T.StructField("file", T.StringType()),
-        T.StructField("generation", T.IntegerType()),
-        T.StructField("offset", T.LongType()),
-        T.StructField("n_lines", T.IntegerType()),
-        T.StructField("text", T.StringType()),
-    ]
-)
+_OPEN = [
+    T.StructField("generation", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
+    T.StructField("n_lines", T.IntegerType()),
+    T.StructField("head", T.StringType()),
+    T.StructField("tail", T.StringType()),
+    T.StructField("stream", T.StringType()),
+]
+#: ``head`` is the line that opened the event, null for a line without one; ``tail`` what follows.
+EVENT = T.StructType([T.StructField("file", T.StringType()), *_OPEN, T.StructField("shell_time", T.StringType())])
 
 
 class Assembler(StatefulProcessor):
-    def __init__(self, head: str = HEAD, idle_ms: int = 2000, max_lines: int = 500, max_bytes: int = 262_144, tag: str = "tarnlog", shell: str = "raw"):
-        self.pattern, self.idle_ms, self.max_lines, self.max_bytes, self.tag, self.shell = head, idle_ms, max_lines, max_bytes, tag, shell
+    def __init__(self, formats: list[str], pattern: str | None = None, idle_ms: int = 2000, max_lines: int = 500, max_bytes: int = 262_144, tag: str = "tarnlog", shell: str = "raw"):
+        self.formats, self.pattern, self.idle_ms, self.max_lines, self.max_bytes, self.tag, self.shell = formats, pattern, idle_ms, max_lines, max_bytes, tag, shell
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.head = re.compile(self.pattern)
-        kept = T.StructType(
-            [
-                T.StructField("generation", T.IntegerType()),
-                T.StructField("offset", T.LongType()),
-                T.StructField("n_lines", T.IntegerType()),
-                T.StructField("text", T.StringType()),
-                T.StructField("lost_lines", T.LongType()),
-                T.StructField("lost_bytes", T.LongType()),
-            ]
-        )
-        self.state = handle.getValueState("open", kept)
+        self.message_of = head_message(self.formats, self.pattern)
+        self.cri = re.compile(CRI_HEAD.replace("\\z", "\\Z"))
+        # size: bytes of the message so far; an event without a head only holds what was dropped
+        more = [T.StructField(c, T.LongType()) for c in ("size", "lost_lines", "lost_bytes")]
+        self.state = handle.getValueState("open", T.StructType([*_OPEN, *more]))
         self.part = handle.getValueState("part", T.StructType([T.StructField("text", T.StringType())]))
 
-    def _event(self, file: str, s: tuple) -> Row:
-        generation, offset, n, text, lost, size = s
-        if lost:
-            text += f"\n... [{self.tag} 截断：省略 {lost} 行 / {size} 字节]"
-        return Row(file=file, generation=generation, offset=offset, n_lines=n, text=text)
+    def _event(self, file: str, s: list) -> Iterator[Row]:
+        generation, offset, n, head, tail, stream, _, lost, size = s
+        if head is not None:
+            if lost:
+                tail = (tail or "") + f"\n... [{self.tag} 截断：省略 {lost} 行 / {size} 字节]"
+            yield Row(file=file, generation=generation, offset=offset, n_lines=n, head=head, tail=tail, stream=stream, shell_time=None)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         file = key[0]
-        s = tuple(self.state.get()) if self.state.exists() else None
+        s = list(self.state.get()) if self.state.exists() else None
         part = self.part.get()[0] if self.part.exists() else None
         for r in sorted(rows, key=lambda r: (r["generation"], r["offset"])):
-            if s and s[0] != r["generation"]:
-                yield self._event(file, s)
+            generation, offset = r["generation"], r["offset"]
+            if s and s[0] != generation:
+                yield from self._event(file, s)
                 s = None
             if r["discard_bytes"] is not None:
-                if s:
-                    s = (*s[:4], s[4] + 1, s[5] + r["discard_bytes"])
+                # with nothing open, what follows is the rest of a line that is lost
+                s = s or [generation, offset, 0, None, None, None, 0, 0, 0]
+                s[7], s[8] = s[7] + 1, s[8] + r["discard_bytes"]
                 continue
-            line = r["line"]
-            if self.shell == "cri" and (m := _SHELL.match(line)):
-                part = (part or "") + (m[3] or "")
-                if m[2] == "P":
+            line, stream, time = r["line"], None, None
+            if self.shell == "cri" and self.cri.match(line):
+                time, stream, tag, *content = line.split(" ", 3)
+                part = (part or "") + (content[0] if content else "")
+                if tag[0] == "P":
                     continue
                 line, part = part, None
-            if self.head.match(line):
+            message = self.message_of(line)
+            size = len(line.encode())
+            if message is not None:
                 if s:
-                    yield self._event(file, s)
-                s = (r["generation"], r["offset"], 1, line, 0, 0)
+                    yield from self._event(file, s)
+                s = [generation, offset, 1, line, None, stream, len(message.encode()), 0, 0]
             elif s is None:
-                yield Row(file=file, generation=r["generation"], offset=r["offset"], n_lines=1, text=line)
-            elif s[4] or s[2] >= self.max_lines or len(s[3].encode()) + len(line.encode()) >= self.max_bytes:
-                s = (*s[:4], s[4] + 1, s[5] + len(line.encode()) + 1)
+                yield Row(file=file, generation=generation, offset=offset, n_lines=1, head=None, tail=line, stream=stream, shell_time=time)
+            elif s[7] or s[2] >= self.max_lines or s[6] + size >= self.max_bytes:
+                s[7], s[8] = s[7] + 1, s[8] + size + 1
             else:
-                s = (s[0], s[1], s[2] + 1, s[3] + "\n" + line, 0, 0)
+                s[2], s[4], s[6] = s[2] + 1, (s[4] or "") + "\n" + line, s[6] + 1 + size
         if part is None:
             self.part.clear()
         else:
@@ -103,23 +94,26 @@ class Assembler(StatefulProcessor):
         for t in self.handle.listTimers():
             self.handle.deleteTimer(t)
         if s:
-            self.state.update(s)
+            self.state.update(tuple(s))
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
         else:
             self.state.clear()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self.state.exists():
-            s = tuple(self.state.get())
-            self.state.clear()
-            yield self._event(key[0], s)
+            s = list(self.state.get())
+            if s[3] is not None:
+                self.state.clear()
+                yield from self._event(key[0], s)
 
     def close(self) -> None:
         pass
 
 
-def assemble_stream(lines: DataFrame, head: str = HEAD, idle_ms: int = 2000, max_lines: int = 500, max_bytes: int = 262_144, shell: str = "raw") -> DataFrame:
+def assemble_stream(
+    lines: DataFrame, formats: list[str], pattern: str | None = None, idle_ms: int = 2000, max_lines: int = 500, max_bytes: int = 262_144, shell: str = "raw", tag: str = "tarnlog"
+) -> DataFrame:
     """Events of a stream of raw lines. Needs the RocksDB state store."""
     return lines.groupBy("file").transformWithState(
-        statefulProcessor=Assembler(head, idle_ms, max_lines, max_bytes, shell=shell), outputStructType=EVENT, outputMode="Append", timeMode="ProcessingTime"
+        statefulProcessor=Assembler(formats, pattern, idle_ms, max_lines, max_bytes, tag, shell), outputStructType=EVENT, outputMode="Append", timeMode="ProcessingTime"
     )

@@ -36,6 +36,8 @@ def test_line_limit(spark):
 def test_discard_seals(spark):
     got = events(spark, [5, HEAD + "x", 1 << 20, "tail", HEAD + "y"])
     assert [m for _, m in got] == [f"x\n... [tarnlog 截断：省略 2 行 / {(1 << 20) + 5} 字节]", "y"]
+    # with nothing open, the rest of the lost line goes up to the next head
+    assert [m for _, m in events(spark, ["lost", 7, "tail", "more", HEAD + "y", "z"])] == ["lost", "y\nz"]
 
 
 def test_shell_parts(spark):
