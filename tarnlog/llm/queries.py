@@ -22,12 +22,15 @@ def p1_registers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Estimate against exact count per day; ``holds`` says that the exact one is within bounds."""
-    logs, hosts = table(spark, sf_dir, "log_events"), table(spark, sf_dir, "hosts")
-    events = distinct.trace_events(logs, hosts)
-    exact = events.groupBy("day").agg(F.count_distinct("trace_id").alias("exact"))
-    days = distinct.merge(distinct.registers(events, ["day", "service_name", "host"], "trace_id"), ["day"])
-    return distinct.estimates(days, ["day"]).join(exact, "day").select("day", "exact", F.col("exact").between(F.col("low"), F.col("high")).alias("holds"))
+    """Estimates against exact counts, per level: groups, ids, and whether 99 % of the groups are within bounds."""
+    keys = ["day", "service_name", "host"]
+    events = distinct.trace_events(table(spark, sf_dir, "log_events"), table(spark, sf_dir, "hosts")).where("trace_id is not null")
+    exact = events.cube(*keys).agg(F.grouping_id().cast("int").alias("level"), F.count_distinct("trace_id").alias("exact"))
+    found = distinct.estimates(distinct.combinations(distinct.registers(events, keys, "trace_id"), keys), [*keys, "level"])
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in [*keys, "level"]]
+    both = exact.alias("a").join(found.alias("b"), same).select("a.level", "exact", (~F.col("exact").between(F.col("low"), F.col("high"))).cast("int").alias("outside"))
+    n = F.count(F.lit(1))
+    return both.groupBy("level").agg(n.alias("groups"), F.sum("exact").alias("ids"), (F.sum("outside") <= F.ceil(n * 0.01)).alias("holds"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,10 +114,10 @@ _P1_DISTINCT = (
      (day, register), (service_name, register), (host, register), (register))
 ), sums as (
   select day, service_name, host, level, 16384 - count(*) as empty, sum(pow(2.0, -rank)) as s from sets group by all
-), vals as (
-  select *, 0.7213 / (1 + 1.079 / 16384) * 16384.0 * 16384.0 / (s + empty) as raw from sums
 ), est as (
-  select *, case when raw <= 2.5 * 16384 and empty > 0 then 16384 * ln(16384.0 / empty) else raw end as value from vals
+  select day, service_name, host, level, 16384.0 * 16384.0 / (2 * ln(2.0)) / (16384.0 * (e +
+    list_sum(list_transform(range(1, 21), lambda k: pow(e, pow(2.0, k)) * pow(2.0, k - 1)))) + s) as value
+  from (select *, empty / 16384.0 as e from sums)
 )
 select day, service_name, host, level, cast(round(value) as bigint) as n_distinct, 0.008125 as standard_error,
   cast(floor(value * (1 - 3 * 0.008125)) as bigint) as low, cast(ceil(value * (1 + 3 * 0.008125)) as bigint) as high from est
@@ -125,7 +128,9 @@ select day, service_name, host, level, cast(round(value) as bigint) as n_distinc
 ORACLE = {
     "p1_registers": _P1 + "select * from registers",
     "p1_distinct": _P1_DISTINCT,
-    "p1_bounds": _P1 + "select day, count(distinct trace_id) as exact, true as holds from one group by day",
+    "p1_bounds": _P1
+    + """, exact as (select cast(grouping(day, service_name, host) as integer) as level, count(distinct trace_id) as exact from one group by cube (day, service_name, host))
+    select level, count(*) as groups, cast(sum(exact) as bigint) as ids, true as holds from exact group by level""",
 }
 
 
