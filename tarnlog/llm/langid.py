@@ -18,7 +18,9 @@ Defined results: null, empty and blank texts, and texts without prose, have no s
 are compared as languages: codes of two or three letters, regions and English names are
 spellings of one language; unknown labels count as missing. Offsets are in code points of the
 text as stored; evidence is read after NFKC normalisation and without invisible characters.
-A language needs ``LEAST_SHARE`` of the labelled documents to be learnt.
+A label is learnt as a language, however rare, if its documents agree in n-grams of their own
+(found in ``LEAST_DOCS`` of them, and at most half as common under any commoner label, for
+``LEAST_OWN`` of its n-grams by their frequency); labels whose texts are in the languages of commoner labels are not.
 """
 
 from __future__ import annotations
@@ -29,14 +31,17 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Labelled documents a language that the model is fitted on.
 SAMPLE_DOCS = 400
-#: Languages rarer than this among the labels are not learnt (labels are wrong more often).
-LEAST_SHARE = 0.01
+#: Documents of a label that must hold an n-gram for it to count there.
+LEAST_DOCS = 3
+#: Share of a label's n-grams, by how often they occur, that no commoner label has half as often, from which it is a language.
+LEAST_OWN = 0.2
 #: An n-gram is common in a language from this document frequency on ...
 LEAST_FREQUENCY = 0.02
 #: ... and belongs to it if it is at least this fraction of its highest frequency.
@@ -120,10 +125,12 @@ class Filter:
 
     def __init__(self, languages: list[str], hashes: np.ndarray, masks: np.ndarray):
         self.languages = languages
-        self.table = np.zeros(1 << SLOT_BITS, dtype=np.uint32)
+        if len(languages) > 64:
+            raise ValueError("a mask holds 64 languages")
+        self.table = np.zeros(1 << SLOT_BITS, dtype=np.uint64)
         for s in slots(hashes):
-            np.bitwise_or.at(self.table, s, masks.astype(np.uint32))
-        fill = np.array([((self.table >> np.uint32(b)) & np.uint32(1)).mean() for b in range(len(languages))])
+            np.bitwise_or.at(self.table, s, masks.astype(np.uint64))
+        fill = np.array([((self.table >> np.uint64(b)) & np.uint64(1)).mean() for b in range(len(languages))])
         self.false = fill**HASHES
 
     def languages_of(self, hashes: np.ndarray) -> np.ndarray:
@@ -138,7 +145,7 @@ class Filter:
         """(n-grams found per group and language, corrected; n-grams of the group known to any)."""
         masks = self.languages_of(hashes)
         some = np.bincount(group[masks != 0], minlength=groups).astype(float)
-        hits = np.stack([np.bincount(group, weights=(masks >> np.uint32(b)) & np.uint32(1), minlength=groups) for b in range(len(self.languages))], axis=1)
+        hits = np.stack([np.bincount(group, weights=(masks >> np.uint64(b)) & np.uint64(1), minlength=groups) for b in range(len(self.languages))], axis=1)
         return np.clip((hits - some[:, None] * self.false) / (1 - self.false), 0, None), some
 
 
@@ -244,10 +251,9 @@ def segments(text: str, model: Filter) -> list[tuple[int, str, float, int]]:
 
 
 def sample(documents: DataFrame, docs: int = SAMPLE_DOCS) -> DataFrame:
-    """``code, text``: at most ``docs`` labelled documents of each language that is common enough."""
+    """``code, text``: at most ``docs`` labelled documents of each label."""
     coded = documents.select("doc_id", "text", label_code(F.col("lang")).alias("code")).where("code is not null and text is not null")
     counts = coded.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.withColumn("all", F.sum("n").over(Window.partitionBy(F.lit(1)))).where(F.col("n") >= LEAST_SHARE * F.col("all"))
     # thinned by hash first, so the ranking below sees about twice the sample, however large the input
     thin = coded.join(F.broadcast(counts), "code").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(float(2 << 20) * docs) / F.col("n"))
     rank = F.row_number().over(Window.partitionBy("code").orderBy(F.xxhash64("doc_id"), "doc_id"))
@@ -266,19 +272,38 @@ def fit(documents: DataFrame, docs: int = SAMPLE_DOCS) -> Filter:
                 parts.setdefault(code, []).append(np.unique(gram_hashes(body)[0]))
             for code, each in parts.items():
                 h, n = np.unique(np.concatenate(each), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([code] * len(h)), pa.array(h.view(np.int64)), pa.array(n, pa.int64()), pa.array([len(each)] + [0] * (len(h) - 1), pa.int64()) if len(h) else pa.array([], pa.int64())], ["code", "h", "n", "docs"])
+                yield pa.RecordBatch.from_arrays([pa.array([code] * len(h), pa.string()), pa.array(h.view(np.int64)), pa.array(n, pa.int64()), pa.array([len(each)] + [0] * (len(h) - 1), pa.int64()) if len(h) else pa.array([], pa.int64())], ["code", "h", "n", "docs"])
 
     counted = sample(documents, docs).repartition("code").mapInArrow(grams, "code string, h long, n long, docs long")
     totals = F.sum("docs").over(Window.partitionBy("code"))
     freq = counted.groupBy("code", "h").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).withColumn("rate", F.col("n") / totals)
-    top = F.max("rate").over(Window.partitionBy("h"))
-    kept = freq.withColumn("top", top).where((F.col("rate") >= LEAST_FREQUENCY) & (F.col("rate") >= LEAST_RATIO * F.col("top"))).select("code", "h")
-    rows = kept.toPandas()  # bounded by the sample
-    languages = sorted(rows["code"].unique().tolist())
-    bit = rows["code"].map({c: 1 << i for i, c in enumerate(languages)}).to_numpy(dtype=np.uint32) if len(rows) else np.zeros(0, np.uint32)
+    common = freq.where((F.col("n") >= LEAST_DOCS) & (F.col("rate") >= LEAST_FREQUENCY)).select("code", "h", "rate").toPandas()  # bounded by the sample
+    labelled = documents.select(label_code(F.col("lang")).alias("code")).where("code is not null").groupBy("code").count().collect()  # a row for each known language
+    languages = languages_of(common, {r["code"]: r["count"] for r in labelled})
+    common = common[common["code"].isin(languages)]
+    rows = common[common["rate"] >= LEAST_RATIO * common.groupby("h")["rate"].transform("max")]
+    bit = rows["code"].map({c: 1 << i for i, c in enumerate(languages)}).to_numpy(dtype=np.uint64) if len(rows) else np.zeros(0, np.uint64)
     return Filter(languages, rows["h"].to_numpy(dtype=np.int64).view(np.uint64), bit)
 
 
+def languages_of(common: pd.DataFrame, labelled: dict[str, int]) -> list[str]:
+    """The labels that are languages, by ``code, h, rate`` of their common n-grams.
+
+    From the commonest label on: one is a language if enough of its n-grams, each as often as it
+    occurs, are at least twice as common in it as in every language before it. A label that only
+    names texts of other languages brings hardly any.
+    """
+    taken: list[str] = []
+    top = pd.Series(dtype=float)
+    for code in sorted(common["code"].unique(), key=lambda c: (-labelled.get(c, 0), c)):
+        rates = common[common["code"] == code].set_index("h")["rate"]
+        before = top.reindex(rates.index).fillna(0.0)
+        if rates[before <= rates / 2].sum() >= LEAST_OWN * rates.sum():
+            taken.append(code)
+            top = pd.concat([top, rates]).groupby(level=0).max()
+    return sorted(taken)
+
+
 def identify(documents: DataFrame, model: Filter | None = None) -> DataFrame:
     """``doc_id, label, main_lang, n_langs, seg_start, lang, confidence, letters``: a row per segment."""
     model = model or fit(documents)

@@ -37,12 +37,12 @@ def test_labels(spark):
 
 def test_filter_has_no_false_negatives():
     h = np.random.default_rng(0).integers(0, 1 << 63, 5000).astype(np.uint64)
-    masks = np.random.default_rng(1).integers(1, 8, 5000).astype(np.uint32)
-    f = langid.Filter(["a", "b", "c"], h, masks)
+    masks = np.random.default_rng(1).integers(1, 8, 5000).astype(np.uint64) | np.uint64(1 << 40)
+    f = langid.Filter(["a", "b", "c", *map(str, range(38))], h, masks)
     assert ((f.languages_of(h) & masks) == masks).all()
     other = np.random.default_rng(2).integers(0, 1 << 63, 50_000).astype(np.uint64)
     for b in range(3):
-        assert abs(((f.languages_of(other) >> np.uint32(b)) & np.uint32(1)).mean() - f.false[b]) < 1e-3
+        assert abs(((f.languages_of(other) >> np.uint64(b)) & np.uint64(1)).mean() - f.false[b]) < 1e-3
 
 
 def test_model_and_segments(spark, model):
@@ -106,3 +106,17 @@ def test_scripts_without_case(spark):
     assert model.languages == ["ar", "ja", "ko", "zh"]
     text = "判决书\n\n" + "\n\n".join(said[c][0] for c in ("zh", "ar", "ko", "ja"))
     assert [(s, lang) for s, lang, _, _ in langid.segments(text, model)] == [(0, "zh")] + [(text.index(said[c][0]), c) for c in ("ar", "ko", "ja")]
+
+
+def test_rare_languages_are_learnt_and_wrong_labels_are_not(spark):
+    rnd = random.Random(7)
+    fi = ["Valitus hylätään ja päätös jää voimaan kaikilta osin, koska uutta selvitystä ei ole esitetty.", "Käräjäoikeus katsoi, että vahinko oli aiheutunut vuokralaisen huolimattomuudesta.", "Oikeudenkäyntikulut jäävät osapuolten omaksi vahingoksi tässä asiassa."]
+    rows = [(i, "\n\n".join(prose(rnd, "en de fr".split()[i % 3]) for _ in range(4)), "en de fr".split()[i % 3], "") for i in range(1300)]
+    rows += [(2000 + i, "\n\n".join(fi), "fi", "") for i in range(4)]  # 0.3 % of the labels
+    rows += [(3000 + i, "\n\n".join(prose(rnd, "en de fr".split()[i % 3]) for _ in range(4)), "da", "") for i in range(40)]  # stale labels
+    df = spark.createDataFrame(rows, DOCS)
+    model = langid.fit(df)
+    assert model.languages == ["de", "en", "fi", "fr"]
+    found = langid.mislabelled(langid.identify(df, model)).collect()
+    assert {r["doc_id"] for r in found} == {3000 + i for i in range(40)}
+    assert [s[1] for s in langid.segments(f"{fi[0]}\n\n{prose(rnd, 'en')}", model)] == ["fi", "en"]
