@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of text in a table that is broadcast, at most.
+BROADCAST_BYTES = 32 << 20
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
@@ -40,10 +43,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, key: str, most: int) -> DataFrame:
-    """Hint a broadcast only when ``df`` has at most ``most`` rows (checked with a limited count)."""
-    small = df.select(key).limit(most + 1).count() <= most
-    return F.broadcast(df) if small else df
+def broadcast_if_small(df: DataFrame, key: str, most: int, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only when ``df`` has at most ``most`` rows and ``most_bytes`` of text.
+
+    Both are checked with one limited aggregate; ``key`` is any column. Beyond, Spark chooses.
+    """
+    texts = [F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)).cast("long") for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    n, size = df.limit(most + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(reduce(lambda a, b: a + b, texts, F.lit(0).cast("long"))), F.lit(0))).first()
+    return F.broadcast(df) if n <= most and size <= most_bytes else df
 
 
 def stored(df: DataFrame) -> DataFrame:
