@@ -1,7 +1,7 @@
 """Pack items into containers of fixed capacity by best-fit decreasing.
 
 Items are spread over shards by a hash, so a shard holds a like share of every length; the
-number of shards follows the total size. A shard is packed on its own: in order of falling
+number of shards follows the total size and the number of items. A shard is packed on its own: in order of falling
 size, each item goes into the open bin with the least room that still holds it. The open bins
 stand in a segment tree over remaining capacities (a leaf for each possible remainder counts
 its bins, an inner node sums its leaves), so the tightest bin is found in O(log capacity). Only
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from tarnlog.runtime import cut
 
-#: Tokens that one task packs; bounds a task's memory and time at any corpus size.
-SHARD_TOKENS = 1 << 25
+#: Tokens and items that one task packs; they bound a task's memory and time at any corpus size.
+SHARD_TOKENS, SHARD_ITEMS = 1 << 25, 1 << 20
 
 
 class RoomTree:
@@ -80,7 +80,7 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> np.ndarray:
     return out
 
 
-def pack(items: DataFrame, capacities: DataFrame, id_col: str = "doc_id", size_col: str = "n_tokens", shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def pack(items: DataFrame, capacities: DataFrame, id_col: str = "doc_id", size_col: str = "n_tokens", shard_tokens: int = SHARD_TOKENS, shard_items: int = SHARD_ITEMS) -> DataFrame:
     """``size_name, capacity, container, doc_id, piece, start, n_tokens``: one row per piece.
 
     ``capacities`` (``size_name, capacity_tokens``) is a short list. ``items`` is read twice, so
@@ -88,8 +88,9 @@ def pack(items: DataFrame, capacities: DataFrame, id_col: str = "doc_id", size_c
     """
     caps = capacities.select("size_name", F.col("capacity_tokens").cast("long").alias("capacity")).where("capacity >= 1").distinct()
     sized = items.select(F.col(id_col).alias("doc_id"), F.greatest(F.coalesce(F.col(size_col).cast("long"), F.lit(0)), F.lit(0)).alias("size"))
-    total = sized.agg(F.sum("size")).first()[0] or 0
-    shards = int(total // shard_tokens) + 1
+    total, n = sized.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
+    # items without a size take a place in a shard too
+    shards = int(max(total // shard_tokens, n // shard_items)) + 1
     # capacities are few by contract: the pairs are items x a short list, made without a join
     names = [(r["size_name"], r["capacity"]) for r in caps.limit(10_001).collect()]
     if len(names) > 10_000:
@@ -114,8 +115,9 @@ def pack(items: DataFrame, capacities: DataFrame, id_col: str = "doc_id", size_c
             F.col("capacity").alias("n_tokens"),
         )
     )
-    rest = each.select("doc_id", "size_name", "capacity", full.alias("cuts"), F.expr("size % capacity").alias("n_tokens")).where("n_tokens > 0 or cuts = 0")
-    rest = rest.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
+    rest = each.select("item", "doc_id", "size_name", "capacity", full.alias("cuts"), F.expr("size % capacity").alias("n_tokens")).where("n_tokens > 0 or cuts = 0")
+    # items without an id, or with one that is repeated, are spread by their number too
+    rest = rest.withColumn("shard", F.pmod(F.xxhash64("doc_id", "item"), F.lit(shards)).cast("long"))
 
     def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         size_name, capacity, shard = key
@@ -160,3 +162,18 @@ def fill_report(packed: DataFrame) -> DataFrame:
         F.max("used").alias("fullest"),
         (F.sum("used") / (F.count("*") * F.first("capacity"))).alias("fill"),
     )
+
+
+def violations(packed: DataFrame, sizes: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``size_name, capacity, docs, fits, whole`` of a packing; what must hold for any.
+
+    ``fits``: no container is over its capacity. ``whole``: every document of ``sizes`` (``doc_id,
+    n_tokens``, one row an id) is there with all its tokens, in as few pieces as its size allows.
+    """
+    used = packed.groupBy("size_name", "capacity", "container").agg(F.sum("n_tokens").alias("used")).groupBy("size_name", "capacity").agg(F.max("used").alias("fullest"))
+    each = packed.groupBy("size_name", "capacity", "doc_id").agg(F.sum("n_tokens").alias("packed"), F.count(F.lit(1)).alias("pieces"), F.max(F.col("start") + F.col("n_tokens")).alias("end"))
+    want = sizes.select(F.col(id_col).alias("id"), F.coalesce(F.col("n_tokens").cast("long"), F.lit(0)).alias("size"))
+    same = each.join(want, F.col("doc_id").eqNullSafe(F.col("id")))
+    right = (F.col("packed") == F.col("size")) & (F.col("end") == F.col("size")) & (F.col("pieces") == F.greatest(F.ceil(F.col("size") / F.col("capacity")), F.lit(1)))
+    docs = same.groupBy("size_name", "capacity").agg(F.count(F.lit(1)).alias("docs"), F.min(right).alias("whole"))
+    return docs.join(used, ["size_name", "capacity"]).select("size_name", "capacity", "docs", (F.col("fullest") <= F.col("capacity")).alias("fits"), "whole")

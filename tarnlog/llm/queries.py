@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlog.llm import bpe, distinct, langid, packing, runs, truncation
-from tarnlog.runtime import table
+from tarnlog.runtime import cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,11 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(p8_containers(spark, sf_dir))
 
 
+def p8_holds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = cut(bpe.token_counts(table(spark, sf_dir, "documents")))
+    return packing.violations(packing.pack(sizes, table(spark, sf_dir, "context_sizes")), sizes)
+
+
 def p9_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -78,6 +83,7 @@ def queries() -> dict[str, Query]:
         "p7_ids": p7_ids,
         "p8_containers": p8_containers,
         "p8_fill": p8_fill,
+        "p8_holds": p8_holds,
         "p9_found": p9_found,
         "p9_segments": p9_segments,
     }
@@ -124,8 +130,9 @@ select day, service_name, host, level, cast(round(value) as bigint) as n_distinc
 """
 )
 
-#: Fill of the containers cannot be said in SQL; what must hold for any packing can.
+#: Containers cannot be said in SQL; what must hold for any packing can.
 ORACLE = {
+    "p8_holds": "select size_name, cast(capacity_tokens as bigint) as capacity, (select count(*) from documents) as docs, true as fits, true as whole from context_sizes",
     "p1_registers": _P1 + "select * from registers",
     "p1_distinct": _P1_DISTINCT,
     "p1_bounds": _P1

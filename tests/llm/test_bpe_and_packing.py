@@ -80,6 +80,12 @@ def test_pack(spark):
         two = sorted((r["piece"], r["start"], r["n_tokens"]) for r in rows if r["doc_id"] == 2 and r["size_name"] == "s")
         assert two == [(1, 0, 10), (2, 10, 10), (3, 20, 5)]
     assert packing.pack(items.where("false"), caps).count() == 0
+    many = spark.createDataFrame([(None, 0)] * 300 + [(7, 0)] * 300, "doc_id long, n_tokens long")
+    few = packing.pack(many, caps, shard_items=100).where("size_name = 's'")
+    assert few.count() == 600 and few.select("container").distinct().count() == 7
+    one = items.groupBy("doc_id").agg(F.max("n_tokens").alias("n_tokens"))
+    assert sorted(r[2:] for r in map(tuple, packing.violations(packing.pack(one, caps), one).collect())) == [(6, True, True)] * 2
+    assert [r["whole"] for r in packing.violations(packing.pack(one, caps).where("doc_id is not null or n_tokens < 3"), one.withColumn("n_tokens", F.col("n_tokens") + 1)).collect()] == [False] * 2
     assert packing.pack(items, caps.where("false")).count() == 0
     report = {r["size_name"]: r for r in packing.fill_report(packing.pack(items, caps)).collect()}
     assert report["l"]["containers"] == 1 and report["s"]["least_containers"] == 7
