@@ -1,23 +1,24 @@
 """Find messages that were cut before their end, and how often each source cuts.
 
-Two kinds of evidence are used.
-
 Storage limits. The length of each text is recomputed as a store may have measured it:
 characters, UTF-8 bytes, UTF-16 units, after JSON escaping, entity escaping or newline
-conversion. A limit of a source shows as a spike of one length under one of these encodings,
-with hardly any longer text beyond it. Rows of a spike are cut unless their ending is one that
-is known to stand at the end of texts; an ending seen too rarely to tell clears none.
+conversion. A hidden limit shows as a spike of one length under one of these encodings, in a
+service or file or in all of its kind. A spike of whole texts has endings that are known to stand
+at the end of texts, a limit cuts anywhere: spikes with mostly other endings are limits, any number
+of them in a source and of any length. Rows on a limit are cut unless their own ending is a known
+one; an ending seen too rarely to tell clears none.
 
 Endings. Texts are split into tokens, values are masked by form, and the corpus is counted once:
 how often each (two tokens before, token) ends a text and how often it goes on; which longer
-tokens begin with it in the same place; which id form rules a place. A text is cut if its last
+tokens begin with it in the same place (neighbours in the order of a place's tokens, so their sum is
+a difference of running sums); which id form rules a place. A text is cut if its last
 token nearly always goes on, if it is the beginning of a token that is commoner there, or a
 part of the id that belongs there. A marker of the collector, or a broken character at the end,
 is a cut by itself. Endings that the program writes itself (dots, a count of further frames, no
 full stop) are common endings in these counts, so they are no case.
 
 All counts are over all rows; only aggregates over distinct token triples are joined back, by
-their hash. Defined results: null, empty and blank messages are no case; white space at the end
+128 bits of their hash. Defined results: null, empty and blank messages are no case; white space at the end
 is ignored; every row counts, repeated or not; ids may be null or repeated.
 """
 
@@ -25,11 +26,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnlog.functions.text import rstrip
-from tarnlog.runtime import broadcast_if_small, cut
+from tarnlog.runtime import broadcast_if_small, cut, stored
 
 #: An ending is a cut if fewer than this share of its occurrences end a text ...
 END_SHARE = 0.05
@@ -41,9 +42,11 @@ FEW = 12
 TIMES_COMMONER, TIMES_IF_MANY = 2.0, 15.0
 #: Share of a place that an id form must have to rule it, and that another form must stay under.
 RULES, STRAY = 0.3, 0.05
-#: Rows on one length, and their ratio to the mean of the lengths around, that make a limit.
-LIMIT_ROWS, LIMIT_RATIO, LIMIT_BEYOND, LIMIT_LEAST = 8, 8.0, 0.02, 64
-#: Most limits that are broadcast; beyond it Spark chooses the join.
+#: Rows on one length, and their ratio to the mean of the lengths around, that make a spike ...
+LIMIT_ROWS, LIMIT_RATIO = 8, 8.0
+#: ... and share of its rows without a known ending that makes it a limit.
+LIMIT_OPEN = 0.5
+#: Most sources whose spikes are broadcast; beyond it Spark chooses the join.
 LIMITS_BROADCAST_ROWS = 100_000
 #: Share of ends from which a triple is an ending of its own.
 SURE_END = 0.5
@@ -93,40 +96,50 @@ def encodings(text: Column) -> dict[str, Column]:
 
 
 def source_of() -> Column:
-    """Service where there is one, else the file; inside and outside pods are different stores."""
-    return F.concat_ws("|", F.when(F.col("pod").isNotNull(), "pod").otherwise("file"), F.coalesce(F.col("service_name"), F.regexp_replace(F.coalesce("file", F.lit("")), r"[0-9]+", "0")))
+    """Service where there is one, else the file without numbers and hashes; inside and outside pods are different stores."""
+    plain = F.regexp_replace(F.coalesce("file", F.lit("")), r"(?<![A-Za-z0-9])[0-9a-f]*[0-9][0-9a-f]*(?![A-Za-z0-9])", "0")
+    return F.concat_ws("|", kind_of(), F.coalesce(F.col("service_name"), plain))
+
+
+def kind_of() -> Column:
+    return F.when(F.col("pod").isNotNull(), "pod").otherwise("file")
 
 
-def limits(texts: DataFrame) -> DataFrame:
-    """``source, encoding, len`` of the hidden limits of ``texts(source, text)``.
+KINDS = ["chars", "utf8", "utf16", "json", "json_utf8", "entities", "crlf", "crlf_utf8"]
 
-    Of several encodings with a spike, one that fits best (most rows on it) is kept.
+
+def spikes(texts: DataFrame) -> DataFrame:
+    """``source, encoding, len, rows`` of lengths that stand out, of ``texts(source, lens)``.
+
+    ``lens`` holds the lengths in the order of ``KINDS``. Sources are counted by themselves and, as
+    ``pod`` or ``file``, together. Of several encodings on one length, the one with most rows is
+    kept, of those the plainest.
     """
-    kinds = F.array(*[F.struct(F.lit(k).alias("encoding"), v.cast("long").alias("len")) for k, v in encodings(F.col("text")).items()])
-    hist = texts.where(F.octet_length("text") >= LIMIT_LEAST).select("source", F.explode(kinds).alias("e")).groupBy("source", "e").agg(F.count(F.lit(1)).alias("n")).select("source", "e.encoding", "e.len", "n")
-    by = "partition by source, encoding order by len"
-    wide = hist.where(F.col("len") >= LIMIT_LEAST).select(
-        "*",
-        F.expr(f"sum(n) over ({by} range between 8 preceding and 8 following)").alias("near"),
-        F.expr(f"sum(n) over ({by} range between 1 following and unbounded following)").alias("beyond"),
-        F.expr(f"sum(n) over ({by} range between unbounded preceding and current row)").alias("upto"),
-    )
-    spikes = wide.where(
-        (F.col("n") >= LIMIT_ROWS) & (F.col("n") > LIMIT_RATIO * (F.col("near") - F.col("n")) / 16) & (F.coalesce("beyond", F.lit(0)) <= LIMIT_BEYOND * F.col("n"))
-    )
-    # the plainest encoding wins a tie
-    plain = F.array_position(F.array(*[F.lit(k) for k in reversed(list(encodings(F.lit(""))))]), F.col("encoding"))
-    best = spikes.groupBy("source").agg(F.max(F.struct("n", plain.alias("plain"), "encoding", "len")).alias("b"))
-    return best.select("source", "b.encoding", "b.len", F.col("b.n").alias("rows"))
+    each = texts.select("source", F.posexplode("lens").alias("encoding", "len"))
+    fine = each.groupBy("source", "encoding", "len").agg(F.count(F.lit(1)).alias("n"))
+    hist = fine.unionByName(fine.withColumn("source", F.substring_index("source", "|", 1)).groupBy("source", "encoding", "len").agg(F.sum("n").alias("n")))
+    near = F.expr("sum(n) over (partition by source, encoding order by len range between 8 preceding and 8 following)")
+    found = hist.where("len > 0").withColumn("near", near).where((F.col("n") >= LIMIT_ROWS) & (F.col("n") > LIMIT_RATIO * (F.col("near") - F.col("n")) / 16))
+    best = found.groupBy("source", "len").agg(F.max(F.struct("n", (-F.col("encoding")).alias("plain"))).alias("b"))
+    return best.select("source", F.element_at(F.array(*[F.lit(k) for k in KINDS]), (1 - F.col("b.plain")).cast("int")).alias("encoding"), "len", F.col("b.n").alias("rows"))
 
 
 def _tokens(logs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per text: its tokens with ids masked (x) and with names masked too (m)."""
+    """One row per text: its tokens with ids masked (x) and with names masked too (m), and what the verdict needs."""
     body = rstrip(F.col(text_col))
     base = logs.select(F.col(id_col).alias("id"), body.alias("text"), source_of().alias("source")).where("text <> ''")
     masked = base.withColumn("x", _replaced(F.col("text"), _IDS))
     masked = masked.withColumn("m", _replaced(F.col("x"), _NAMES))
-    return masked.select("id", "source", "text", F.split("x", " ").alias("x"), F.split("m", " ").alias("m"))
+    sizes = encodings(F.col("text"))
+    return masked.select(
+        "id",
+        "source",
+        F.array(*[sizes[k].cast("int") for k in KINDS]).alias("lens"),
+        F.regexp_replace(F.substring_index(F.substring_index("text", "\n", -1), " ", -1), r"^['\"(\[]+", "").alias("tail"),
+        F.when(F.col("text").rlike(MARKER), "marker").when(F.col("text").endswith("\ufffd"), "character").alias("plain"),
+        F.split("x", " ").alias("x"),
+        F.split("m", " ").alias("m"),
+    )
 
 
 def _last(c: str, k: int) -> Column:
@@ -144,9 +157,17 @@ def token_counts(tokens: DataFrame) -> DataFrame:
 
 
 def _longer(words: DataFrame, col: str, total: str) -> DataFrame:
-    """``l2, l1, <col>, longer_<col>``: total of the tokens that begin with each token."""
-    starts = F.transform(F.sequence(F.lit(1), F.length(col) - 1), lambda i: F.substring(F.col(col), F.lit(1), i))
-    return words.where(F.length(col) > 1).select("l2", "l1", total, F.explode(starts).alias(col)).groupBy("l2", "l1", col).agg(F.sum(total).alias(f"longer_{col}"))
+    """``l2, l1, <col>, longer_<col>``: total of the longer tokens that begin with each token that ends a text.
+
+    ``words`` is ``l2, l1, <col>, <total>, ends``. In the order of a place's tokens, those that begin
+    with one follow it up to its own copy with the last character behind it.
+    """
+    own = words.select("l2", "l1", F.col(col).alias("__e"), F.col(col).alias("__at"), F.col(total).alias("__n"), F.lit(0).alias("__end"))
+    ends = words.where("ends > 0").select("l2", "l1", F.col(col).alias("__e"), F.concat(col, F.lit("\U0010ffff")).alias("__at"), F.lit(0).cast("long").alias("__n"), F.lit(1).alias("__end"))
+    upto = F.sum("__n").over(Window.partitionBy("l2", "l1").orderBy("__at").rowsBetween(Window.unboundedPreceding, 0))
+    placed = own.unionByName(ends).withColumn("__upto", upto)
+    at = lambda k: F.max(F.when(F.col("__end") == k, F.col("__upto")))
+    return placed.groupBy("l2", "l1", F.col("__e").alias(col)).agg((at(1) - at(0)).alias(f"longer_{col}")).where(F.col(f"longer_{col}") > 0)
 
 
 def endings(counts: DataFrame) -> DataFrame:
@@ -155,11 +176,11 @@ def endings(counts: DataFrame) -> DataFrame:
     pair = counts.groupBy("l1", "m").agg(F.sum("total").alias("t2"), F.sum("ends").alias("e2"))
     single = counts.groupBy("m").agg(F.sum("total").alias("t1"), F.sum("ends").alias("e1"))
     # how often longer tokens begin with a token, in the same place; once as written, once masked
-    word = counts.groupBy("l2", "l1", "x").agg(F.sum("total").alias("tx"))
+    word = counts.groupBy("l2", "l1", "x").agg(F.sum("total").alias("tx"), F.sum("ends").alias("ends"))
     longer_x = _longer(word, "x", "tx")
-    longer_m = _longer(triple, "m", "t3")
+    longer_m = _longer(triple.withColumnRenamed("e3", "ends"), "m", "t3")
     # the same by the token before alone, for places that are rare
-    any_word = counts.groupBy("l1", "x").agg(F.sum("total").alias("ty"))
+    any_word = counts.groupBy("l1", "x").agg(F.sum("total").alias("ty"), F.sum("ends").alias("ends"))
     longer_y = _longer(any_word.withColumn("l2", F.lit("")), "x", "ty").select("l1", "x", F.col("longer_x").alias("longer_y"))
     form = F.regexp_extract("m", r"^['\"(\[]*(U|A|H|X)\b", 1)
     place = counts.groupBy("l2", "l1").agg(F.sum("total").alias("tp"))
@@ -172,10 +193,10 @@ def endings(counts: DataFrame) -> DataFrame:
         at_end.join(triple, ["l2", "l1", "m"])
         .join(pair, ["l1", "m"])
         .join(single, "m")
-        .join(word, ["l2", "l1", "x"])
+        .join(word.drop("ends"), ["l2", "l1", "x"])
         .join(longer_x, ["l2", "l1", "x"], "left")
         .join(longer_m, ["l2", "l1", "m"], "left")
-        .join(any_word, ["l1", "x"])
+        .join(any_word.drop("ends"), ["l1", "x"])
         .join(longer_y, ["l1", "x"], "left")
         .join(ruled, ["l2", "l1"], "left")
     )
@@ -217,40 +238,46 @@ def _part_of_ruler() -> Column:
     return F.coalesce(part, F.lit(False))
 
 
+def _keys(l2: Column, l1: Column, m: Column, x: Column) -> list[Column]:
+    """128 bits that name a place and its token."""
+    return [F.xxhash64(l2, l1, m, x).alias("key"), F.xxhash64(F.lit("second"), x, m, l1, l2).alias("key2")]
+
+
 def verdicts(logs: DataFrame, id_col: str = "row_id", text_col: str = "message") -> DataFrame:
-    """``id, source, evidence`` of each cut text: marker, character, ending, part or limit."""
-    tokens = _tokens(logs, id_col, text_col)
-    marks = endings(cut(token_counts(tokens.where(~F.col("text").rlike(MARKER)))))
+    """``id, source, evidence`` of each cut text: marker, character, limit, part or ending."""
+    # the text is masked once; what follows reads tokens and lengths
+    tokens = stored(_tokens(logs, id_col, text_col))
+    marks = endings(cut(token_counts(tokens.where("plain is null or plain <> 'marker'"))))
     suspects = marks.where((F.col("share") < SURE_END) | (F.col("commoner") > TIMES_COMMONER) | (F.coalesce("ruler", F.lit("")) != ""))
-    suspects = suspects.select(F.xxhash64("l2", "l1", "m", "x").alias("key"), "share", "commoner", "ruler")
-    found = cut(limits(tokens.select("source", "text")))
-    found = broadcast_if_small(found, "source", LIMITS_BROADCAST_ROWS)
-    lens = F.create_map(*[c for k, v in encodings(F.col("text")).items() for c in (F.lit(k), v.cast("long"))])
+    suspects = suspects.select(*_keys(*[F.col(c) for c in ("l2", "l1", "m", "x")]), "share", "commoner", "ruler")
+    found = cut(spikes(tokens))
     slack = F.when(F.col("encoding").isin("utf8", "json_utf8", "crlf_utf8"), 3).otherwise(0)
-    size = F.when(F.col("len").isNotNull(), lens[F.col("encoding")])
-    # texts stay behind here: only what the verdict needs is shuffled
-    rows = tokens.join(found, "source", "left").select(
-        "id",
-        "source",
-        F.xxhash64(_last("m", 3), _last("m", 2), _last("m", 1), _last("x", 1)).alias("key"),
-        F.regexp_replace(F.substring_index(F.substring_index("text", "\n", -1), " ", -1), r"^['\"(\[]+", "").alias("tail"),
-        F.when(F.col("text").rlike(MARKER), "marker").when(F.col("text").endswith("\ufffd"), "character").alias("plain"),
-        F.coalesce((size <= F.col("len")) & (size >= F.col("len") - slack), F.lit(False)).alias("at_limit"),
+    place = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("encoding")).cast("int")
+    # one row a source, with its spikes; a source has few, as each takes LIMIT_ROWS rows on a length of its own
+    listed = found.groupBy("source").agg(F.collect_list(F.struct(place.alias("k"), "len", slack.alias("slack"))).alias("spikes"))
+    own = broadcast_if_small(listed, "source", LIMITS_BROADCAST_ROWS)
+    kinds = F.broadcast(listed.where("source in ('pod', 'file')").withColumnRenamed("source", "kind").withColumnRenamed("spikes", "of_kind"))
+    within = lambda s: (F.element_at("lens", s["k"]) <= s["len"]) & (F.element_at("lens", s["k"]) >= s["len"] - s["slack"])
+    hits = lambda c, name: F.transform(F.filter(F.coalesce(F.col(c), F.array().cast(listed.schema["spikes"].dataType)), within), lambda s: F.concat_ws("|", name, s["len"].cast("string"), s["k"].cast("string")))
+    rows = (
+        tokens.withColumn("kind", F.substring_index("source", "|", 1))
+        .join(own, "source", "left")
+        .join(kinds, "kind", "left")
+        .select("id", "source", *_keys(_last("m", 3), _last("m", 2), _last("m", 1), _last("x", 1)), "tail", "plain", F.concat(hits("spikes", F.col("source")), hits("of_kind", F.col("kind"))).alias("hits"))
     )
-    joined = rows.join(suspects, "key", "left")
-    evidence = (
-        F.when(F.col("plain").isNotNull(), F.col("plain"))
-        .when((F.col("share") < END_SHARE) | (F.col("commoner") > TIMES_COMMONER), "ending")
-        .when(_part_of_ruler(), "part")
-        .when(F.col("at_limit") & (F.col("share") < SURE_END), "limit")
-    )
-    return joined.select("id", "source", evidence.alias("evidence")).where("evidence is not null")
+    joined = rows.join(suspects, ["key", "key2"], "left")
+    told = F.when((F.col("share") < END_SHARE) | (F.col("commoner") > TIMES_COMMONER), "ending").when(_part_of_ruler(), "part")
+    open_end = F.coalesce(F.col("share") < SURE_END, F.lit(False)) | told.isNotNull()
+    judged = stored(joined.where("plain is not null or key is not null").select("id", "source", "plain", "hits", told.alias("told"), open_end.alias("open")).where("plain is not null or told is not null or size(hits) > 0"))
+    limits = judged.select(F.explode("hits").alias("hit"), "open").groupBy("hit").agg(F.avg(F.col("open").cast("int")).alias("share")).where(F.col("share") >= LIMIT_OPEN).select("hit")
+    limited = judged.where("open").select("id", F.explode("hits").alias("hit")).join(limits, "hit").select("id").distinct().withColumn("at_limit", F.lit(True))
+    evidence = F.coalesce("plain", F.when(F.col("at_limit"), "limit"), "told")
+    return judged.join(limited, "id", "left").select("id", "source", evidence.alias("evidence")).where("evidence is not null")
 
 
 def report(logs: DataFrame, found: DataFrame, id_col: str = "row_id") -> DataFrame:
-    """``service_name, file, n_rows, n_cut, share`` per service and file."""
-    cut_ids = found.select(F.col("id").alias(id_col), F.lit(1).alias("__cut"))
+    """``service_name, file, n_rows, n_cut, share`` per service and file, and how many rows each evidence told."""
+    cut_ids = found.select(F.col("id").alias(id_col), F.col("evidence").alias("__cut"))
     joined = logs.select(id_col, "service_name", "file").join(cut_ids, id_col, "left")
-    return joined.groupBy("service_name", "file").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count("__cut").alias("n_cut"), (F.count("__cut") / F.count(F.lit(1))).alias("share")
-    )
+    by = [F.count(F.when(F.col("__cut") == k, 1)).alias(f"n_{k}") for k in ("limit", "marker", "character", "part", "ending")]
+    return joined.groupBy("service_name", "file").agg(F.count(F.lit(1)).alias("n_rows"), F.count("__cut").alias("n_cut"), (F.count("__cut") / F.count(F.lit(1))).alias("share"), *by)
