@@ -3,41 +3,44 @@
 Each event is compared with its predecessor by a lag window, changes are flagged, their running
 sum names the run, and runs are aggregated. A sequence may hold a third of all rows, so this
 happens in two levels: first inside (sequence, time bucket), then only for the first and last
-run of each bucket, which are the only ones that can go on across a border. No task ever sees a
-whole sequence.
+run of each bucket, which are the only ones that can go on across a border. Buckets are as wide as
+``BUCKET_ROWS`` events of their sequence take on average, so no task ever sees a whole sequence,
+however dense it is.
 
-Two events are of one statement if their masked texts, all lines of them, are equal, or if one is the beginning of
-the other (a text that was cut). Defined results: rows with a null sequence are left out; null
-timestamps sort first and give a null duration; null messages equal each other; runs shorter
-than ``least`` are not returned; an empty table gives no rows.
+Two events are of one statement if their masked texts, all lines of them, are equal. A text that
+was cut lacks fixed words of its statement, so it is equal to texts cut alike only, and ends a run
+of whole ones. Defined results: rows with a null sequence are left out; null timestamps sort first
+and give a null duration; null messages equal each other; runs shorter than ``least`` are not
+returned; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnlog.functions.timefmt import ntz_ms
 from tarnlog.llm.statements import masked, statements
 from tarnlog.operators import delivery
-from tarnlog.runtime import stored
+from tarnlog.runtime import broadcast_if_small, cut, stored
 
-#: Seconds of a time bucket; a task holds one bucket of one sequence.
-BUCKET_SECONDS = 900
+#: Events of a sequence that a time bucket holds on average.
+BUCKET_ROWS = 20_000
+#: Sequences, and distinct masked texts, that are broadcast at most.
+SEQUENCES_BROADCAST, TEMPLATES_BROADCAST = 100_000, 100_000
 
 
-def same_statement(a: Column, b: Column) -> Column:
-    """Equal, or one begins the other."""
-    short = F.least(F.length(a), F.length(b))
-    return a.eqNullSafe(b) | F.coalesce((short >= 6) & (F.startswith(a, b) | F.startswith(b, a)), F.lit(False))
+def collapse(events: DataFrame, least: int = 2, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``seq, first_id, last_id, n_events, duration_ms`` of ``events(seq, ts, id, stmt)``.
 
-
-def collapse(events: DataFrame, least: int = 2, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
-    """``seq, first_id, last_id, n_events, duration_ms`` of ``events(seq, ts, id, stmt)``."""
-    rows = events.where("seq is not null").withColumn("bucket", F.floor(ntz_ms(F.col("ts")) / (1000 * bucket_seconds)))
+    ``events`` is read twice, so hand over a table.
+    """
+    rows = events.where("seq is not null").withColumn("ms", ntz_ms(F.col("ts")))
+    spans = rows.groupBy("seq").agg(F.min("ms").alias("lo"), F.greatest(F.lit(1), F.ceil((F.max("ms") - F.min("ms") + 1) * bucket_rows / F.count(F.lit(1)))).alias("width"))
+    spans = broadcast_if_small(spans, "seq", SEQUENCES_BROADCAST).withColumnRenamed("seq", "seq0")
+    rows = rows.join(spans, F.col("seq") == F.col("seq0")).withColumn("bucket", F.floor((F.col("ms") - F.col("lo")) / F.col("width"))).drop("seq0", "lo", "width")
     inside = Window.partitionBy("seq", "bucket").orderBy(F.col("ts").asc_nulls_first(), "id")
-    prev = F.lag("stmt").over(inside)
-    start = F.when(F.row_number().over(inside) == 1, 1).when(same_statement(F.col("stmt"), prev), 0).otherwise(1)
+    start = F.when(F.row_number().over(inside) == 1, 1).when(F.col("stmt").eqNullSafe(F.lag("stmt").over(inside)), 0).otherwise(1)
     flagged = rows.withColumn("start", start).withColumn("run", F.sum("start").over(inside))
     last_run = F.max("run").over(Window.partitionBy("seq", "bucket"))
     parts = (
@@ -45,8 +48,7 @@ def collapse(events: DataFrame, least: int = 2, bucket_seconds: int = BUCKET_SEC
         .agg(
             F.min(F.struct("ts", "id")).alias("lo"),
             F.max(F.struct("ts", "id")).alias("hi"),
-            F.min_by("stmt", F.struct("ts", "id")).alias("stmt_lo"),
-            F.max_by("stmt", F.struct("ts", "id")).alias("stmt_hi"),
+            F.first("stmt").alias("stmt"),
             F.count(F.lit(1)).alias("n"),
         )
         .withColumn("edge", (F.col("run") == 1) | (F.col("run") == last_run))
@@ -59,7 +61,7 @@ def collapse(events: DataFrame, least: int = 2, bucket_seconds: int = BUCKET_SEC
         (ntz_ms(F.col("hi.ts")) - ntz_ms(F.col("lo.ts"))).alias("duration_ms"),
     )
     across = Window.partitionBy("seq").orderBy(F.col("bucket").asc_nulls_first(), "run")
-    joins = (F.lag("bucket").over(across).eqNullSafe(F.col("bucket")) == F.lit(False)) & same_statement(F.col("stmt_lo"), F.lag("stmt_hi").over(across))
+    joins = (F.lag("bucket").over(across).eqNullSafe(F.col("bucket")) == F.lit(False)) & F.col("stmt").eqNullSafe(F.lag("stmt").over(across))
     # the first and the last run of a bucket with more than two runs are not neighbours, and never join
     begin = F.when(F.row_number().over(across) == 1, 1).when(joins, 0).otherwise(1)
     edges = parts.where("edge").withColumn("begin", begin).withColumn("g", F.sum("begin").over(across))
@@ -72,8 +74,8 @@ def statement_runs(lines: DataFrame, least: int = 2) -> DataFrame:
 
     ``lines`` is read twice: once to learn the statements, once to order the events.
     """
-    known = statements(lines)
-    events = lines.join(known, lines["template"].eqNullSafe(known["template"]), "left").select("seq", "ts", "id", F.coalesce("statement", lines["template"]).alias("stmt"))
+    known = broadcast_if_small(cut(statements(lines)), "template", TEMPLATES_BROADCAST).withColumnRenamed("template", "template0")
+    events = lines.join(known, F.col("template") == F.col("template0"), "left").select("seq", "ts", "id", F.coalesce("statement", "template").alias("stmt"))
     return collapse(events, least)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tarnlog.functions.text import rstrip
 from tarnlog.llm.truncation import MARKER
+from tarnlog.runtime import cut, stored
 
 #: (pattern, replacement), applied in order to the lines of a message; none goes beyond a line.
 _VALUES = [
@@ -64,13 +65,11 @@ def bare(token: Column) -> Column:
     return F.regexp_replace(token, r"^['\"(\[]+|['\")\],:;.]+$", "")
 
 
-def value_words(templates: DataFrame) -> DataFrame:
-    """``l2, l1, word, r1`` of the plain words that stand where values stand.
+def value_words(words: DataFrame) -> DataFrame:
+    """``l2, l1, r1, kind`` of the plain words that stand where values stand.
 
-    ``templates`` is ``template, n``: distinct masked texts with their counts.
+    ``words`` is ``l2, l1, r1, kind, n``: how often each bare word stands in each place.
     """
-    placed = templates.select("n", F.explode(_places(F.split("template", " "))).alias("p")).select("n", "p.*")
-    words = placed.withColumn("kind", bare(F.col("word"))).groupBy("l2", "l1", "r1", "kind").agg(F.sum("n").alias("n"))
     place = Window.partitionBy("l2", "l1", "r1")
     slots = (
         words.withColumn("all", F.sum("n").over(place))
@@ -82,7 +81,7 @@ def value_words(templates: DataFrame) -> DataFrame:
         )
     )
     open_slots = slots.where((F.col("values") >= SLOT_SHARE * F.col("all")) | (F.col("words") >= SLOT_WORDS))
-    return words.where(F.col("kind").rlike(r"^\p{Ll}+$")).join(open_slots, ["l2", "l1", "r1"]).select("l2", "l1", "r1", F.col("kind").alias("word"))
+    return words.where(F.col("kind").rlike(r"^\p{Ll}+$")).join(open_slots, ["l2", "l1", "r1"]).select("l2", "l1", "r1", "kind")
 
 
 def statements(lines: DataFrame, col: str = "template") -> DataFrame:
@@ -91,13 +90,15 @@ def statements(lines: DataFrame, col: str = "template") -> DataFrame:
     The lines shrink to distinct masked texts by a partial aggregate first; all learning runs on
     those. Words in value places become ``#``, so lines that differ there share a statement.
     """
-    templates = lines.select(F.col(col).alias("template")).groupBy("template").agg(F.count(F.lit(1)).alias("n"))
-    values = value_words(templates).withColumn("hit", F.lit(True))
-    placed = templates.select("template", F.posexplode(_places(F.split("template", " "))).alias("i", "p")).select("template", "i", "p.*")
-    looked = placed.withColumn("kind", bare(F.col("word"))).join(values.withColumnRenamed("word", "kind"), ["l2", "l1", "r1", "kind"], "left")
+    spark = lines.sparkSession
+    counted = lines.where(F.col(col).isNotNull()).select(F.col(col).alias("template")).groupBy("template").agg(F.count(F.lit(1)).alias("n"))
+    templates = cut(counted).withColumn("tid", F.monotonically_increasing_id())
+    # few rows become many: spread them over all tasks first
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = templates.repartition(tasks, "tid").select("tid", "n", F.posexplode(_places(F.split("template", " "))).alias("i", "p"))
+    placed = stored(placed.select("tid", "n", "i", "p.*").withColumn("kind", bare(F.col("word"))))
+    values = value_words(placed.groupBy("l2", "l1", "r1", "kind").agg(F.sum("n").alias("n"))).withColumn("hit", F.lit(True))
+    looked = placed.join(values, ["l2", "l1", "r1", "kind"], "left")
     word = F.when(F.col("hit"), F.expr("replace(word, kind, '#')")).otherwise(F.col("word"))
-    return (
-        looked.select("template", "i", word.alias("w"))
-        .groupBy("template")
-        .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "w"))), lambda x: x["w"]), " ").alias("statement"))
-    )
+    made = looked.select("tid", "i", word.alias("w")).groupBy("tid").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "w"))), lambda x: x["w"]), " ").alias("statement"))
+    return templates.join(made, "tid").select("template", "statement")

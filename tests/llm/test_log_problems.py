@@ -80,14 +80,18 @@ def test_runs_against_plain_loop(spark):
     rows = [(rnd.choice(["p", "q", None]), base + timedelta(microseconds=rnd.randrange(0, 60_000_000)), i, rnd.choice("ABC") * 8) for i in range(600)]
     rows += [("r", base, 10_000 + i, "S") for i in range(5)] + [("t", None, 20_000, "Z"), ("t", None, 20_001, "Z")]
     df = spark.createDataFrame(rows, "seq string, ts timestamp_ntz, id long, stmt string")
-    for bucket in (1, 7, 3600):
-        assert sorted(map(tuple, runs.collapse(df, bucket_seconds=bucket).collect())) == plain_runs(rows)
+    for bucket in (3, 40, 20_000):
+        assert sorted(map(tuple, runs.collapse(df, bucket_rows=bucket).collect())) == plain_runs(rows)
     assert runs.collapse(df.where("false")).count() == 0
 
 
-def test_cut_text_goes_on_in_its_run(spark):
-    a, b = F.lit("Job # started"), F.lit("Job # st")
-    assert spark.range(1).select(runs.same_statement(a, b), runs.same_statement(a, F.lit("Task # x")), runs.same_statement(F.lit(None).cast("string"), F.lit(None).cast("string"))).first()[:] == (True, False, True)
+def test_cut_texts_end_a_run(spark):
+    """A cut text lacks fixed words, and is no bridge between two statements."""
+    hit, miss, part = "Digest cache hit", "Digest cache miss", "Digest cac"
+    for seq, want in (([hit, part, miss], []), ([hit, hit, part, hit, hit], [(0, 1), (3, 4)]), ([hit, "Digest cache hit for x"], []), ([part, part], [(0, 1)]), ([None, None, part], [(0, 1)])):
+        df = spark.createDataFrame([("p", datetime(2024, 1, 1, 0, 0, i), i, t) for i, t in enumerate(seq)], "seq string, ts timestamp_ntz, id long, stmt string")
+        for rows in (100, 2):
+            assert sorted((r["first_id"], r["last_id"]) for r in runs.collapse(df, bucket_rows=rows).collect()) == want, (seq, rows)
 
 
 def test_further_lines_make_a_statement(spark):
@@ -97,7 +101,7 @@ def test_further_lines_make_a_statement(spark):
     texts += [crash(7, b)[:70] + "\n... [x 截断：省略 3 行 / 109 字节]", crash(8, b), "Worker 9 stopped", "Worker 10 stopped"]
     df = spark.createDataFrame([("p", datetime(2024, 1, 1, 0, 0, i), i, x) for i, x in enumerate(texts)], "seq string, ts timestamp_ntz, id long, message string")
     got = runs.statement_runs(df.withColumn("template", statements.masked(F.col("message"))).drop("message"))
-    assert sorted((r["first_id"], r["last_id"]) for r in got.collect()) == [(0, 1), (2, 3), (4, 5), (6, 7), (8, 9)]
+    assert sorted((r["first_id"], r["last_id"]) for r in got.collect()) == [(0, 1), (2, 3), (8, 9)]
 
 
 def test_truncation(spark):
@@ -139,17 +143,43 @@ def test_rare_endings_of_cut_texts(spark):
     assert got == {first: "ending", first + 1: "ending"} | {i: "limit" for i in range(first + 2, len(texts))}
 
 
-def test_limits(spark):
+def test_spikes(spark):
     rnd = random.Random(6)
     rows = []
     for i in range(600):
-        text = "".join(rnd.choice('ab "é\n') for _ in range(rnd.randrange(70, 400)))
-        rows += [("chars", text[:200]), ("free", text)]
+        text = "".join(rnd.choice('ab "é\n') for _ in range(rnd.randrange(20, 400)))
         b = text.encode()[:200]
-        rows.append(("bytes", b.decode("utf-8", "ignore")))
+        rows += [("pod|chars", text[:200]), ("pod|free", text), ("pod|bytes", b.decode("utf-8", "ignore")), ("pod|two", text[: (40, 160)[i % 2]])]
     df = spark.createDataFrame(rows, "source string, text string")
-    got = {r["source"]: (r["encoding"], r["len"]) for r in truncation.limits(df).collect()}
-    assert got["chars"] == ("chars", 200) and got["bytes"] == ("utf8", 200) and "free" not in got
+    sizes = truncation.encodings(F.col("text"))
+    got = {}
+    for r in truncation.spikes(df.select("source", F.array(*[sizes[k].cast("int") for k in truncation.KINDS]).alias("lens"))).collect():
+        got.setdefault(r["source"], {})[r["len"]] = r["encoding"]
+    assert got["pod|chars"][200] == "chars" and got["pod|bytes"][200] == "utf8" and "pod|free" not in got
+    assert got["pod|two"][40] == got["pod|two"][160] == "chars" and {40, 160, 200} <= set(got["pod"])
+
+
+def test_two_limits_of_one_service(spark):
+    """Short and long limit of one source; whole texts of one length are no limit."""
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randrange(3, 9)))
+    whole = [f"Stage {word()} done after {rnd.randrange(10, 99)} ms" for _ in range(400)] + ["Readiness check passed"] * 50
+    cut = []
+    for limit in (41, 90):
+        cut += [" ".join(word() for _ in range(40))[:limit].rstrip().ljust(limit, "q") for _ in range(30)]
+    df = spark.createDataFrame([(i, x, "p", "s" if i % 2 else None, "f") for i, x in enumerate(whole + cut)], "row_id long, message string, pod string, service_name string, file string")
+    got = {r["id"]: r["evidence"] for r in truncation.verdicts(df).collect()}
+    assert got == {i: "limit" for i in range(len(whole), len(whole) + len(cut))}
+
+
+def test_longer_tokens_by_running_sums(spark):
+    rnd = random.Random(9)
+    words = {("l", "m", "".join(rnd.choice("ab") for _ in range(rnd.randrange(1, 6)))): (rnd.randrange(1, 9), rnd.randrange(2)) for _ in range(60)}
+    words[("l", "m", "a" * 3000)] = (5, 1)
+    df = spark.createDataFrame([(*k, *v) for k, v in words.items()], "l2 string, l1 string, x string, tx long, ends long")
+    got = {r["x"]: r["longer_x"] for r in truncation._longer(df, "x", "tx").collect()}
+    want = {k[2]: sum(n for j, (n, _) in words.items() if j[2].startswith(k[2]) and j != k) for k, (_, e) in words.items() if e}
+    assert got == {k: v for k, v in want.items() if v}
 
 
 def test_encodings(spark):
