@@ -5,7 +5,10 @@ one instant are settled. The others are chosen by Viterbi over the record order
 an interpretation costs by how far its instant lies outside the time in which it can have been
 received, a change of notation and a step back in time cost extra. Settled values are single
 states, so a chain falls apart at them, and only the stretches between two settled values are
-solved; a stretch never crosses a block of its file, so no task holds a whole source.
+solved. No task holds a whole source: it is worked on in blocks of its offsets. A first pass finds,
+for each block, the least cost from every reading of its first value to every reading of its last;
+over these few numbers Viterbi chooses the readings at the borders, and a second pass solves each
+block between them. The result is that of one chain over the source, whatever the blocks.
 
 Rules. Text without a zone is the clock of its host; a reading that occurs twice means the
 earlier instant, one that does not occur takes the offset of the same value read as UTC. Without
@@ -23,21 +26,21 @@ from collections.abc import Iterator
 from datetime import datetime, timedelta
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarnlog.functions.text import strip
 from tarnlog.functions.timefmt import DAY_MS, month_number, ntz_ms, offset_minutes, wall_clock, zoned_ms
 from tarnlog.operators.delivery import HOSTS_BROADCAST_ROWS, machine_names
-from tarnlog.runtime import broadcast_if_small
+from tarnlog.runtime import broadcast_if_small, stored
 
 #: Costs of the Viterbi steps.
 SWITCH_COST, BACK_COST, LATE_COST = 1.0, 2.0, 4.0
 #: An instant may lie this long before its receipt, and this little after it, without cost.
 LATE_MS, EARLY_MS = 7 * DAY_MS, 5_000
-#: Bytes of a file whose lines form one chain.
+#: Bytes of a file that one task works on at a time.
 BLOCK_BYTES = 8 << 20
 
 #: Minutes of abbreviations that the host's own zone does not use.
@@ -172,8 +175,7 @@ def interpretations(rows: DataFrame) -> DataFrame:
 def candidates(stamps: DataFrame, hosts: DataFrame) -> DataFrame:
     """``stamp_id, source, line_offset, received_ms, cands``; unreadable values have no candidates.
 
-    They are dropped in :func:`choose`: a filter here would be pushed through every projection,
-    and work all of them out again.
+    They are dropped in :func:`choose`.
     """
     spark = stamps.sparkSession
     zones = machine_names(hosts).join(hosts.select(F.lower("host").alias("machine"), "tz").groupBy("machine").agg(F.min("tz").alias("tz")), "machine")
@@ -205,23 +207,31 @@ def emission(ms: int, received: int | None) -> float:
     return 0.0 if out == 0 else LATE_COST + out / DAY_MS
 
 
-def viterbi(before: tuple[int, int] | None, rows: list[tuple[int | None, list[tuple[int, int]]]], after: tuple[int, int] | None) -> list[int]:
-    """The instants of consecutive values; ``before`` and ``after``: (fmt, ms) of settled ones.
+def step(a: tuple[int, int], b: tuple[int, int]) -> float:
+    """Cost of one reading (notation, instant) behind another."""
+    return SWITCH_COST * (a[0] != b[0]) + BACK_COST * (b[1] < a[1])
+
+
+def preference(rank: int, ident: int) -> float:
+    """What decides between equal costs: the readings listed first, the same ones in blocks of any size."""
+    return rank * (1.0 + (ident * 2654435761 % 1000003) / 1000003) * 1e-7
 
-    Equal costs go to the interpretation listed first.
-    """
 
-    def step(a: tuple[int, int], b: tuple[int, int]) -> float:
-        return SWITCH_COST * (a[0] != b[0]) + BACK_COST * (b[1] < a[1])
+Row = tuple[int | None, list[tuple[int, int]], int]
 
-    costs: list[float] = []
+
+def viterbi(before: tuple[int, int] | None, rows: list[Row], after: tuple[int, int] | None) -> list[int]:
+    """The instants of consecutive values; ``before`` and ``after``: (notation, instant) of settled ones.
+
+    A row is (received, readings, a number that tells it from others).
+    """
+    costs: list[float] = [0.0] if before else []
     back: list[list[int]] = []
     prev: list[tuple[int, int]] = [before] if before else []
-    costs = [0.0] if before else []
-    for received, cands in rows:
+    for received, cands, ident in rows:
         now, links = [], []
-        for c in cands:
-            e = emission(c[1], received)
+        for rank, c in enumerate(cands):
+            e = emission(c[1], received) + preference(rank, ident)
             if prev:
                 k = min(range(len(prev)), key=lambda i: costs[i] + step(prev[i], c))
                 now.append(costs[k] + step(prev[k], c) + e)
@@ -235,28 +245,139 @@ def viterbi(before: tuple[int, int] | None, rows: list[tuple[int | None, list[tu
         costs = [x + step(p, after) for x, p in zip(costs, prev)]
     k = min(range(len(costs)), key=costs.__getitem__)
     out = []
-    for (_, cands), links in zip(reversed(rows), reversed(back)):
+    for (_, cands, _), links in zip(reversed(rows), reversed(back)):
         out.append(cands[k][1])
         k = links[k]
     return out[::-1]
 
 
+class Border:
+    """Least costs through a block: from each reading of its first value to each of its last."""
+
+    def __init__(self, row: Row):
+        self.first = row
+        received, cands, ident = row
+        inside = [emission(c[1], received) + preference(k, ident) for k, c in enumerate(cands)]
+        self.costs = [[inside[i] if i == j else np.inf for j in range(len(cands))] for i in range(len(cands))]
+        self.last = row
+
+    def add(self, row: Row) -> None:
+        received, cands, ident = row
+        prev = self.last[1]
+        steps = [[step(p, c) + emission(c[1], received) + preference(k, ident) for k, c in enumerate(cands)] for p in prev]
+        self.costs = [[min(x + steps[j][k] for j, x in enumerate(line)) for k in range(len(cands))] for line in self.costs]
+        self.last = row
+
+
+def borders(blocks: list[tuple[list[tuple[int, int]], list[tuple[int, int]], list[list[float]]]]) -> list[tuple[int, int]]:
+    """(place of the first value's reading, of the last one's) of each block of a source, in order."""
+    total: list[float] = []
+    back: list[list[tuple[int, int]]] = []
+    prev: list[tuple[int, int]] = []
+    for first, last, costs in blocks:
+        enter = [min(((t + step(p, c), j) for j, (t, p) in enumerate(zip(total, prev))), default=(0.0, -1)) for c in first]
+        best = [min((enter[i][0] + costs[i][k], i) for i in range(len(first))) for k in range(len(last))]
+        back.append([(i, enter[i][1]) for _, i in best])
+        total, prev = [x for x, _ in best], last
+    k = min(range(len(total)), key=total.__getitem__)
+    out = []
+    for links in reversed(back):
+        i, before = links[k]
+        out.append((i, k))
+        k = before
+    return out[::-1]
+
+
+def _readings(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(offsets, notations, instants) of the lists of a batch."""
+    fmt, ms = batch.column("fmt"), batch.column("ms")
+    if isinstance(batch, pa.Table):
+        fmt, ms = fmt.combine_chunks(), ms.combine_chunks()
+    offs = ms.offsets.to_numpy()
+    return offs - offs[0], fmt.flatten().to_numpy(), ms.flatten().to_numpy()
+
+
+_BORDERS = "source string, block long, chain long, first_fmt array<int>, first_ms array<long>, last_fmt array<int>, last_ms array<long>, costs array<double>"
+
+
+def block_borders(ordered: DataFrame) -> DataFrame:
+    """A row for each block of ``ordered``: readings of its first and last value, and the costs between them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, border, name = None, None, None
+
+        def done() -> pa.RecordBatch:
+            (_, first, _), (_, last, _) = border.first, border.last
+            cols = [[name[0]], [name[1]], [at], [[c[0] for c in first]], [[c[1] for c in first]], [[c[0] for c in last]], [[c[1] for c in last]], [[x for line in border.costs for x in line]]]
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.float64())]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["source", "block", "chain", "first_fmt", "first_ms", "last_fmt", "last_ms", "costs"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            offs, fv, mv = _readings(batch)
+            chain = batch.column("chain").to_numpy()
+            received, ids = batch.column("received_ms"), batch.column("ident").to_numpy()
+            several = np.diff(offs) > 1
+            starts = np.concatenate([[True], chain[1:] != chain[:-1]])
+            ends = np.concatenate([starts[1:], [True]])
+            # between two settled values nothing depends on a border: only values beside unsettled ones, and the ends of blocks, are looked at
+            beside = several | np.concatenate([several[1:], [False]]) | np.concatenate([[False], several[:-1]])
+            for i in np.flatnonzero(beside | starts | ends).tolist():
+                row = (received[i].as_py(), list(zip(fv[offs[i] : offs[i + 1]].tolist(), mv[offs[i] : offs[i + 1]].tolist())), int(ids[i]))
+                if chain[i] != at:
+                    if border is not None:
+                        yield done()
+                    at, border, name = int(chain[i]), Border(row), (batch.column("source")[i].as_py(), batch.column("block")[i].as_py())
+                else:
+                    border.add(row)
+        if border is not None:
+            yield done()
+
+    return ordered.mapInArrow(run, _BORDERS)
+
+
+def solve_borders(found: DataFrame) -> DataFrame:
+    """``chain, first, last``: the instants chosen for the first and the last value of each block."""
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("block")
+        blocks = []
+        for r in pdf.itertuples():
+            n = len(r.last_ms)
+            blocks.append((list(zip(r.first_fmt, r.first_ms)), list(zip(r.last_fmt, r.last_ms)), [list(r.costs[i * n : (i + 1) * n]) for i in range(len(r.first_ms))]))
+        chosen = borders(blocks)
+        return pd.DataFrame({"chain": pdf["chain"], "first": [b[0][i][1] for b, (i, _) in zip(blocks, chosen)], "last": [b[1][k][1] for b, (_, k) in zip(blocks, chosen)]})
+
+    # sources whose borders are all settled need no choice
+    open_border = F.max(((F.size("first_ms") > 1) | (F.size("last_ms") > 1)).cast("int")).over(Window.partitionBy("source"))
+    return found.withColumn("open", open_border).where("open = 1").drop("open").groupBy("source").applyInPandas(one, "chain long, first long, last long")
+
+
 def choose(cands: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``stamp_id, utc_ms``: one instant per value."""
-    ordered = (
-        cands.withColumn("chain", F.xxhash64("source", F.floor(F.coalesce("line_offset", F.lit(0)) / block_bytes)))
-        .select("stamp_id", "chain", "line_offset", "received_ms", F.col("cands.fmt").alias("fmt"), F.col("cands.ms").alias("ms"))
-        .repartition("chain")
-        .sortWithinPartitions("chain", "line_offset", "stamp_id")
-    )
+    block = F.floor(F.coalesce("line_offset", F.lit(0)) / block_bytes)
+    # readings of one instant are one reading; stored, as they are needed twice, and because a filter
+    # on them would otherwise be pushed through every projection before
+    one = F.array_min("cands.ms") == F.array_max("cands.ms")
+    readings = stored(cands.select("stamp_id", "source", block.alias("block"), "line_offset", "received_ms", F.when(one, F.slice("cands", 1, 1)).otherwise(F.col("cands")).alias("cands"))).where("size(cands) > 0")
+    readings = readings.withColumn("chain", F.xxhash64("source", "block")).withColumn("ident", F.pmod(F.xxhash64("stamp_id", "line_offset"), F.lit(1 << 31)))
+    sort = ["chain", "line_offset", "stamp_id"]
+    lists = lambda df: df.withColumn("fmt", F.col("cands.fmt")).withColumn("ms", F.col("cands.ms")).drop("cands")
+    chosen = solve_borders(block_borders(lists(readings.repartition("chain").sortWithinPartitions(*sort))))
+    chosen = chosen.select(F.col("chain").alias("chain0"), "first", "last")
+    joined = readings.join(chosen, F.col("chain") == F.col("chain0"), "left").repartition("chain")
+    here = Window.partitionBy("chain").orderBy("line_offset", "stamp_id")
+    at_border = F.when(F.lag("chain").over(here).isNull(), F.col("first")).when(F.lead("chain").over(here).isNull(), F.col("last"))
+    placed = joined.withColumn("wanted", at_border)
+    fixed = F.when(F.col("wanted").isNotNull(), F.filter("cands", lambda x: x["ms"] == F.col("wanted"))).otherwise(F.col("cands"))
+    ordered = lists(placed.select("stamp_id", "chain", "line_offset", "ident", "received_ms", fixed.alias("cands")).sortWithinPartitions(*sort)).drop("line_offset")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None  # the open stretch at the end of the last batch, with the settled row before it
 
         def solve(t: pa.Table, last: bool) -> tuple[pa.RecordBatch, pa.Table | None]:
-            fmt, ms = t.column("fmt").combine_chunks(), t.column("ms").combine_chunks()
-            offs, fv, mv = ms.offsets.to_numpy(), fmt.flatten().to_numpy(), ms.flatten().to_numpy()
-            offs = offs - offs[0]
+            offs, fv, mv = _readings(t)
             chain = t.column("chain").to_numpy()
             fresh = t.column("fresh").to_numpy(zero_copy_only=False)
             lo = np.minimum.reduceat(mv, offs[:-1]) if len(mv) else mv
@@ -265,6 +386,7 @@ def choose(cands: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             chosen = mv[offs[:-1]].copy()
             n, keep_from = len(chain), None
             received = t.column("received_ms").to_pylist() if loose.any() else []
+            ids = t.column("ident").to_numpy()
             cand = lambda i: list(zip(fv[offs[i] : offs[i + 1]].tolist(), mv[offs[i] : offs[i + 1]].tolist()))
             at = np.flatnonzero(loose)
             i = 0
@@ -278,7 +400,7 @@ def choose(cands: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                     break
                 before = cand(a - 1)[0] if a and chain[a - 1] == chain[a] else None
                 after = cand(b + 1)[0] if b + 1 < n and chain[b + 1] == chain[a] else None
-                chosen[a : b + 1] = viterbi(before, [(received[k], cand(k)) for k in range(a, b + 1)], after)
+                chosen[a : b + 1] = viterbi(before, [(received[k], cand(k), int(ids[k])) for k in range(a, b + 1)], after)
             if keep_from is None and not last and n:
                 keep_from = n - 1  # it may be the settled row before a stretch
                 rest = t.slice(keep_from).set_column(t.column_names.index("fresh"), "fresh", pa.array([False]))
@@ -292,11 +414,10 @@ def choose(cands: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                 show = fresh & (np.arange(n) < keep_from + (0 if loose[keep_from] else 1))
             else:
                 rest, show = None, fresh
-            ids = t.column("stamp_id").combine_chunks().filter(pa.array(show))
-            return pa.RecordBatch.from_arrays([ids, pa.array(chosen[show], pa.int64())], ["stamp_id", "utc_ms"]), rest
+            shown = t.column("stamp_id").combine_chunks().filter(pa.array(show))
+            return pa.RecordBatch.from_arrays([shown, pa.array(chosen[show], pa.int64())], ["stamp_id", "utc_ms"]), rest
 
         for batch in batches:
-            batch = batch.filter(pc.greater(pc.list_value_length(batch.column("ms")), 0))
             t = pa.Table.from_batches([batch]).append_column("fresh", pa.array(np.ones(batch.num_rows, dtype=bool)))
             if held is not None:
                 t = pa.concat_tables([held, t]).combine_chunks()

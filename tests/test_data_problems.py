@@ -92,12 +92,43 @@ def test_viterbi_against_all_paths():
             return steps + sum(stamps.emission(c[1], r[0]) for c, r in zip(path, rows))
 
         best = min(cost(p) for p in itertools.product(*[r[1] for r in rows]))
-        got = stamps.viterbi(before, rows, after)
-        assert any(abs(cost(p) - best) < 1e-9 for p in itertools.product(*[r[1] for r in rows]) if [c[1] for c in p] == got)
+        got = stamps.viterbi(before, [(*r, i) for i, r in enumerate(rows)], after)
+        assert any(abs(cost(p) - best) < 1e-4 for p in itertools.product(*[r[1] for r in rows]) if [c[1] for c in p] == got)
 
 
-def md5(x):
-    return hashlib.md5(x.encode()).hexdigest()
+STAMPS = "stamp_id long, host string, file string, line_offset long, timestamp string, received_at timestamp_ntz"
+
+
+def test_order_alone_decides(spark):
+    """One value that is two days; only what stands around it tells which. No receipt, so no distance counts."""
+    around = {
+        "f": ["2025-04-30 10:00:00", "05.06.2025 11:00:00", "2025-05-13 10:00:00"],
+        "g": ["2025-06-02 10:00:00", "05.06.2025 11:00:00", "2025-06-13 10:00:00"],
+        "h": ["13.05.2025 10:00:00", "05.06.2025 11:00:00", "05.07.2025 11:00:00"],
+    }
+    rows = [(10 * k + i, "n1", f, i * 100, x, None) for k, (f, xs) in enumerate(around.items()) for i, x in enumerate(xs)]
+    df = spark.createDataFrame(rows, STAMPS)
+    utc = lambda *a: int((datetime(*a) - datetime(1970, 1, 1)).total_seconds() * 1000)
+    for size in (50, 150, 1 << 20):
+        got = {r["stamp_id"]: r["utc_ms"] for r in stamps.normalise(df, hosts(spark), size).collect()}
+        assert (got[1], got[11], got[21], got[22]) == (utc(2025, 5, 6, 9), utc(2025, 6, 5, 9), utc(2025, 6, 5, 9), utc(2025, 7, 5, 9)), size
+
+
+def test_blocks_change_nothing(spark):
+    import random
+
+    rnd = random.Random(4)
+    rows = []
+    for k in range(6):
+        for i in range(80):
+            day = rnd.choice(["2025-{:02d}-{:02d} 10:00:00", "{1:02d}.{0:02d}.2025 10:00:00"][:: rnd.choice([1, -1])] + ["{1:02d}.{0:02d}.2025 10:00:00"] * (4 + k)).format(rnd.randrange(1, 13), rnd.randrange(1, 13))
+            rows.append((1000 * k + i, "n1", f"f{k}", i * 10, day, datetime(2025, rnd.randrange(1, 13), 28) if rnd.random() < 0.3 else None))
+    df = spark.createDataFrame(rows, STAMPS)
+    results = [sorted(map(tuple, stamps.normalise(df, hosts(spark), size).collect())) for size in (1 << 20, 200, 35, 10)]
+    assert len(results[0]) == len(rows) and all(r == results[0] for r in results)
+    first = lambda x: datetime.strptime(x, "%d.%m.%Y %H:%M:%S") if "." in x else datetime.fromisoformat(x)
+    plain = {r[0]: int((first(r[4]) - datetime(1970, 1, 1)).total_seconds() // 86400) for r in rows}
+    assert sum(plain[i] != (ms + 7_200_000) // 86_400_000 for i, ms in results[0]) > 20  # order and receipt decide often here
 
 
 LINES = "file string, generation int, line_offset long, line string, discard_bytes long, read_at timestamp_ntz"
