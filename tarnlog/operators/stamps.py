@@ -97,6 +97,8 @@ _NOTATIONS = {
     "mail": (_MAIL, {"d": 1, "mo": 2, "y": 3, "h": 4, "mi": 5, "s": 6, "z": 7}),
     "spoken": (_SPOKEN, {"mo": 1, "d": 2, "y": 3, "h": 4, "mi": 5, "s": 6, "half": 7}),
 }
+#: Stands between fields; no notation has it.
+_MARK = "\uffff"
 _CODE = {k: i for i, k in enumerate(_NOTATIONS)}
 #: Codes of the two readings that are no notation of their own.
 _MDY, _EPOCH = len(_NOTATIONS), len(_NOTATIONS) + 1
@@ -114,11 +116,12 @@ def interpretations(rows: DataFrame) -> DataFrame:
         fmt = F.when(text.rlike(pattern), _CODE[name]).otherwise(fmt)
     got = None
     for name, (pattern, at) in _NOTATIONS.items():
-        parts = F.struct(*[(F.regexp_extract(text, pattern, at[f]) if f in at else F.lit("")).alias(f) for f in _FIELDS])
+        # one match writes all fields in their order, with a mark between them
+        parts = F.split(F.regexp_replace(text, pattern, _MARK.join(f"${at[f]}" if f in at else "" for f in _FIELDS)), _MARK)
         got = F.when(F.col("fmt") == _CODE[name], parts) if got is None else got.when(F.col("fmt") == _CODE[name], parts)
     rows = rows.withColumn("fmt", fmt).withColumn("f", got)
-    f = {k: F.col(f"f.{k}") for k in _FIELDS}
-    hour = F.col("f.h").try_cast("int")
+    f = {k: F.col("f")[i] for i, k in enumerate(_FIELDS)}
+    hour = f["h"].try_cast("int")
     hour = F.when(f["half"] == "", hour).when(hour.between(1, 12), hour % 12 + F.when(f["half"] == "PM", 12).otherwise(0))
     rows = rows.select(
         "*",
@@ -364,7 +367,9 @@ def choose(cands: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     readings = readings.withColumn("chain", F.xxhash64("source", "block")).withColumn("ident", F.pmod(F.xxhash64("stamp_id", "line_offset"), F.lit(1 << 31)))
     sort = ["chain", "line_offset", "stamp_id"]
     lists = lambda df: df.withColumn("fmt", F.col("cands.fmt")).withColumn("ms", F.col("cands.ms")).drop("cands")
-    chosen = solve_borders(block_borders(lists(readings.repartition("chain").sortWithinPartitions(*sort))))
+    # a source of one block has no border inside
+    several = readings.groupBy("source").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).where("lo < hi").select("source")
+    chosen = solve_borders(block_borders(lists(readings.join(several, "source", "left_semi").repartition("chain").sortWithinPartitions(*sort))))
     chosen = chosen.select(F.col("chain").alias("chain0"), "first", "last")
     joined = readings.join(chosen, F.col("chain") == F.col("chain0"), "left").repartition("chain")
     here = Window.partitionBy("chain").orderBy("line_offset", "stamp_id")
