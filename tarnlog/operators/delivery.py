@@ -8,9 +8,9 @@ was read by; any other file keeps its identity when rotation adds ``.yyyymmdd-hh
 Plan. Only a 128-bit key, the delivery order and the row's place in its file are shuffled. The
 first copy per key is found by a partial aggregate (hot keys shrink before the shuffle); keys
 with one copy end there. Surplus rows come from joining the narrow rows with the remaining keys
-under a salt, so that a key with a third of all rows spreads over many tasks. The wide payload
-is never shuffled: surplus places become one deletion vector per file, and each task that
-reads a part of a file drops those positions.
+under a salt, so that a key with a third of all rows spreads over many tasks; the number of salts
+follows the copies of the commonest key. The wide payload is never shuffled: surplus places become
+one deletion vector per file, and each task that reads a part of a file drops those positions.
 
 Defined results: null is a value of its own in every part of the key; order is ``row_id``, and of
 rows with the same order one is kept; an empty table gives no rows.
@@ -18,7 +18,6 @@ rows with the same order one is kept; an empty table gives no rows.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,14 +26,14 @@ from pyspark.sql import functions as F
 
 from tarnlog.functions.text import rstrip
 from tarnlog.functions.timefmt import ntz_ms
-from tarnlog.runtime import broadcast_if_small, ensure_checkpoint_dir
+from tarnlog.runtime import broadcast_if_small, shared_path, stored
 
-#: Tasks over which the rows of one key are spread.
-SALTS = 16
+#: Copies of one key that one task handles; keys with more are spread over several.
+SALT_ROWS = 200_000
 #: Most rows of the table of machine names that are broadcast; beyond it Spark chooses the join.
 HOSTS_BROADCAST_ROWS = 100_000
-#: Files of deletion vectors.
-VECTOR_PARTS = 64
+#: Most folders of deletion vectors; up to that, each file of the table has one of its own.
+VECTOR_PARTS = 4096
 
 
 def machine_names(hosts: DataFrame) -> DataFrame:
@@ -77,24 +76,22 @@ def narrow(scan: DataFrame, hosts: DataFrame) -> DataFrame:
 def surplus(scan: DataFrame, hosts: DataFrame) -> DataFrame:
     """``ord, path, pos`` of every row that is not the first copy of its message."""
     rows = narrow(scan, hosts).withColumn("place", F.xxhash64("path", "pos"))
-    first = (
-        rows.groupBy("k1", "k2")
-        .agg(F.min("ord").alias("first_ord"), F.min_by("place", "ord").alias("first_place"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("k1", "k2", "first_ord", "first_place", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    )
-    salted = rows.withColumn("salt", F.pmod("place", F.lit(SALTS)).cast("int"))
+    first = rows.groupBy("k1", "k2").agg(F.min("ord").alias("first_ord"), F.min_by("place", "ord").alias("first_place"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = stored(first)
+    salts = int((first.agg(F.max("n")).first()[0] or 1) // SALT_ROWS) + 1
+    first = first.select("k1", "k2", "first_ord", "first_place", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    salted = rows.withColumn("salt", F.pmod("place", F.lit(salts)).cast("int"))
     joined = salted.join(first, ["k1", "k2", "salt"])
     return joined.where("not (ord <=> first_ord and place = first_place)").select("ord", "path", "pos")
 
 
-def write_vectors(lost: DataFrame) -> str:
-    """Write one sorted list of positions per file and block; returns their folder."""
+def write_vectors(lost: DataFrame, files: int = 64) -> str:
+    """Write one sorted list of positions per file of a table with so many files; returns their folder."""
     spark = lost.sparkSession
-    ensure_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/vectors-{uuid.uuid4().hex}"
+    parts = max(1, min(files, VECTOR_PARTS))
+    folder = shared_path(spark, f"vectors-{parts}")
     (
-        lost.select("path", "pos", F.pmod(F.xxhash64("path"), F.lit(VECTOR_PARTS)).cast("int").alias("part"))
+        lost.select("path", "pos", F.pmod(F.xxhash64("path"), F.lit(parts)).cast("int").alias("part"))
         .repartition("part", "path")
         .sortWithinPartitions("part", "path", "pos")
         .write.partitionBy("part")
@@ -107,11 +104,12 @@ def apply_vectors(scan: DataFrame, folder: str, columns: list[str] | None = None
     """The scan without the positions listed in ``folder``; rows are not shuffled."""
     columns = columns or scan.columns
     schema = scan.select(*columns).schema
+    parts = int(folder.rsplit("/", 1)[1].split("-")[1])
     tagged = scan.select(
         *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)],
         F.col("_metadata.file_path").alias("__path"),
         F.col("_metadata.row_index").alias("__pos"),
-        F.pmod(F.xxhash64(F.col("_metadata.file_path")), F.lit(VECTOR_PARTS)).cast("int").alias("__part"),
+        F.pmod(F.xxhash64(F.col("_metadata.file_path")), F.lit(parts)).cast("int").alias("__part"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,4 +154,4 @@ def apply_vectors(scan: DataFrame, folder: str, columns: list[str] | None = None
 
 def without_repeats(scan: DataFrame, hosts: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One copy of each message, with its whole payload (or ``columns`` of it)."""
-    return apply_vectors(scan, write_vectors(surplus(scan, hosts)), columns)
+    return apply_vectors(scan, write_vectors(surplus(scan, hosts), len(scan.inputFiles())), columns)

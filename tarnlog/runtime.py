@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import logging
 import tempfile
 import uuid
 from functools import reduce
@@ -53,9 +55,42 @@ def broadcast_if_small(df: DataFrame, key: str, most: int, most_bytes: int = BRO
     return F.broadcast(df) if n <= most and size <= most_bytes else df
 
 
+#: Folders that this process wrote below the shared folder.
+_WRITTEN: list[str] = []
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; :func:`release` removes what was written there."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
 def stored(df: DataFrame) -> DataFrame:
     """As :func:`cut`, but as a compressed table in the shared folder, for data as large as the input."""
-    ensure_checkpoint_dir(df.sparkSession)
-    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Remove the stored tables and vectors of this process, once their results are written; returns how many.
+
+    Results that are not yet computed lose their source. The end of the process does the same.
+    """
+    n = 0
+    while _WRITTEN:
+        at = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True))
+    return n
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and _WRITTEN:
+        try:
+            release(spark)
+        except Exception as e:  # the session may be gone
+            logging.getLogger(__name__).debug("stored tables are left: %s", e)

@@ -25,6 +25,7 @@ from typing import BinaryIO
 
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+from tarnlog.operators.batching import prune
 from tarnlog.schema import RAW_LINE
 from tarnlog.sources.files import discover
 
@@ -153,9 +154,8 @@ class TailReader(DataSourceStreamReader):
                 continue
             left -= end - begin
             out[key] = {"path": path, "offset": end, "generation": generation}
-        for key, v in state.items():
-            if key not in out and v.get("missing", 0) < MISSING:
-                out[key] = {**v, "missing": v.get("missing", 0) + 1}
+        gone = {k: {**v, "missing": v.get("missing", 0) + 1} for k, v in state.items() if k not in out}
+        out |= prune(gone, {k for k, v in gone.items() if v["missing"] <= MISSING}, lambda path: False)
         self.first_scan = False
         self.last = {"files": json.dumps(out, sort_keys=True)}
         return self.last

@@ -2,6 +2,7 @@ import hashlib
 from datetime import datetime
 
 from pyspark.sql import functions as F
+from tarnlog import runtime
 from tarnlog.operators import delivery, fields, stamps
 
 HOSTS = [("n1", "n1.x.example", "Europe/Berlin"), ("n2", "n2.x.example", "America/New_York")]
@@ -20,7 +21,7 @@ def logs(spark, tmp_path, rows):
     return spark.read.parquet(path)
 
 
-def test_delivery(spark, tmp_path):
+def test_delivery(spark, tmp_path, monkeypatch):
     t, u = datetime(2024, 1, 1, 0, 0, 0, 1200), datetime(2024, 1, 1, 0, 0, 0, 1999)
     pods = "/var/log/pods/a_p_u/c/0.log"
     rows = [
@@ -40,6 +41,10 @@ def test_delivery(spark, tmp_path):
     kept = delivery.without_repeats(df, hosts(spark))
     assert kept.columns == df.columns and sorted(r["row_id"] for r in kept.collect()) == [1, 3, 4, 6, 8]
     assert delivery.surplus(df.where("row_id < 0"), hosts(spark)).count() == 0
+    # a key with more copies than a task should have, and what is left behind
+    monkeypatch.setattr(delivery, "SALT_ROWS", 1)
+    assert sorted(r["ord"] for r in delivery.surplus(df, hosts(spark)).collect()) == lost
+    assert runtime.release(spark) >= 3 and runtime.release(spark) == 0
 
 
 def read_stamps(spark, rows):
