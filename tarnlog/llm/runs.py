@@ -81,7 +81,7 @@ def statement_runs(lines: DataFrame, least: int = 2) -> DataFrame:
 
 def pod_runs(scan: DataFrame, hosts: DataFrame, least: int = 2) -> DataFrame:
     """Runs of the rows of each pod of a Parquet scan of log events, repeated deliveries aside."""
-    folder = delivery.write_vectors(delivery.surplus(scan, hosts))
+    folder = delivery.write_vectors(delivery.surplus(scan, hosts), len(scan.inputFiles()))
     masks = scan.where("pod is not null").withColumn("template", masked(F.col("message")))
     lines = delivery.apply_vectors(masks, folder, ["pod", "timestamp", "row_id", "template"])
     return statement_runs(stored(lines.toDF("seq", "ts", "id", "template")), least)
