@@ -5,7 +5,7 @@ one instant are settled. The others are chosen by Viterbi over the record order
 an interpretation costs by how far its instant lies outside the time in which it can have been
 received, a change of notation and a step back in time cost extra. Settled values are single
 states, so a chain falls apart at them, and only the stretches between two settled values are
-solved. No task holds a whole source: it is worked on in blocks of its offsets. A first pass finds,
+solved. No task holds a long source: it is worked on in blocks of its offsets. A first pass finds,
 for each block, the least cost from every reading of its first value to every reading of its last;
 over these few numbers Viterbi chooses the readings at the borders, and a second pass solves each
 block between them. The result is that of one chain over the source, whatever the blocks.
@@ -40,8 +40,10 @@ from tarnlog.runtime import broadcast_if_small, stored
 SWITCH_COST, BACK_COST, LATE_COST = 1.0, 2.0, 4.0
 #: An instant may lie this long before its receipt, and this little after it, without cost.
 LATE_MS, EARLY_MS = 7 * DAY_MS, 5_000
-#: Bytes of a file that one task works on at a time.
-BLOCK_BYTES = 8 << 20
+#: Values of a source that a block holds on average; sources with fewer are one block.
+BLOCK_ROWS = 20_000
+#: Long sources that are broadcast at most; beyond it Spark chooses the join.
+SOURCES_BROADCAST = 100_000
 
 #: Minutes of abbreviations that the host's own zone does not use.
 COMMON_ZONES = {
@@ -357,19 +359,22 @@ def solve_borders(found: DataFrame) -> DataFrame:
     return found.withColumn("open", open_border).where("open = 1").drop("open").groupBy("source").applyInPandas(one, "chain long, first long, last long")
 
 
-def choose(cands: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def choose(cands: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``stamp_id, utc_ms``: one instant per value."""
-    block = F.floor(F.coalesce("line_offset", F.lit(0)) / block_bytes)
     # readings of one instant are one reading; stored, as they are needed twice, and because a filter
     # on them would otherwise be pushed through every projection before
     one = F.array_min("cands.ms") == F.array_max("cands.ms")
-    readings = stored(cands.select("stamp_id", "source", block.alias("block"), "line_offset", "received_ms", F.when(one, F.slice("cands", 1, 1)).otherwise(F.col("cands")).alias("cands"))).where("size(cands) > 0")
+    readings = stored(cands.select("stamp_id", "source", "line_offset", "received_ms", F.when(one, F.slice("cands", 1, 1)).otherwise(F.col("cands")).alias("cands"))).where("size(cands) > 0")
+    at = F.coalesce("line_offset", F.lit(0))
+    long = readings.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("lo"), F.max(at).alias("hi")).where(F.col("n") > block_rows)
+    width = F.greatest(F.lit(1), F.ceil((F.col("hi") - F.col("lo") + 1) * block_rows / F.col("n")))
+    long = broadcast_if_small(long.select(F.col("source").alias("source0"), "lo", width.alias("width")), "source0", SOURCES_BROADCAST)
+    readings = readings.join(long, F.col("source") == F.col("source0"), "left").withColumn("block", F.coalesce(F.floor((at - F.col("lo")) / F.col("width")), F.lit(0)))
     readings = readings.withColumn("chain", F.xxhash64("source", "block")).withColumn("ident", F.pmod(F.xxhash64("stamp_id", "line_offset"), F.lit(1 << 31)))
     sort = ["chain", "line_offset", "stamp_id"]
     lists = lambda df: df.withColumn("fmt", F.col("cands.fmt")).withColumn("ms", F.col("cands.ms")).drop("cands")
     # a source of one block has no border inside
-    several = readings.groupBy("source").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).where("lo < hi").select("source")
-    chosen = solve_borders(block_borders(lists(readings.join(several, "source", "left_semi").repartition("chain").sortWithinPartitions(*sort))))
+    chosen = solve_borders(block_borders(lists(readings.where("source0 is not null").repartition("chain").sortWithinPartitions(*sort))))
     chosen = chosen.select(F.col("chain").alias("chain0"), "first", "last")
     joined = readings.join(chosen, F.col("chain") == F.col("chain0"), "left").repartition("chain")
     here = Window.partitionBy("chain").orderBy("line_offset", "stamp_id")
@@ -438,6 +443,6 @@ def choose(cands: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     return ordered.mapInArrow(run, f"stamp_id {cands.schema['stamp_id'].dataType.simpleString()}, utc_ms long")
 
 
-def normalise(stamps: DataFrame, hosts: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def normalise(stamps: DataFrame, hosts: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``stamp_id, utc_ms`` of every value that means an instant."""
-    return choose(candidates(stamps, hosts), block_bytes)
+    return choose(candidates(stamps, hosts), block_rows)
