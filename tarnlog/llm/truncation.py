@@ -24,8 +24,6 @@ is ignored; every row counts, repeated or not; ids may be null or repeated.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,26 +54,30 @@ UNKNOWN_END = 0.25
 #: The collector's last line on a text that it cut itself.
 MARKER = r"\n\.\.\. \[[^\]\n]* 截断：省略 [0-9]+ 行 / [0-9]+ 字节\]\z"
 
+#: (pattern, replacement, what a text must hold for the pattern to be tried).
 _IDS = [
-    (r"\n", " ⏎ "),
-    (r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", "U"),
-    (r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b", "A"),
-    (r"\b0x[0-9a-f]+", "X"),
-    (r"\b(?=[a-f]*[0-9])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32}|[0-9a-f]{16}|[0-9a-f]{12}|[0-9a-f]{8})\b", "H"),
-    (r"(?<![A-Za-z])[0-9]+", "0"),
+    (r"\n", " ⏎ ", "\n"),
+    (r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", "U", "-"),
+    (r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b", "A", "."),
+    (r"\b0x[0-9a-f]+", "X", "0x"),
+    (r"\b(?=[a-f]*[0-9])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32}|[0-9a-f]{16}|[0-9a-f]{12}|[0-9a-f]{8})\b", "H", None),
+    (r"(?<![A-Za-z])[0-9]+", "0", None),
 ]
 _NAMES = [
-    (r"\b[a-z]+(?:[-_][a-z]+)+\b", "w-w"),
-    (r"\b[a-z]+(?:\.[A-Za-z]+)+", "j.j"),
-    (r"\([A-Z][A-Za-z]*\.j", "(J.j"),
+    (r"\b[a-z]+(?:[-_][a-z]+)+\b", "w-w", None),
+    (r"\b[a-z]+(?:\.[A-Za-z]+)+", "j.j", "."),
+    (r"\([A-Z][A-Za-z]*\.j", "(J.j", "("),
     # a frame that stops in its file's name begins the whole ones
-    (r"j\.j\([A-Z][A-Za-z]*(\.?)\z", "j.j(J$1"),
-    (r"/(?:[a-z0-9]+/)?w-w", "/p"),
+    (r"j\.j\([A-Z][A-Za-z]*(\.?)\z", "j.j(J$1", "j.j("),
+    (r"/(?:[a-z0-9]+/)?w-w", "/p", "/"),
 ]
 
 
-def _replaced(c: Column, rules: list[tuple[str, str]]) -> Column:
-    return reduce(lambda x, p: F.regexp_replace(x, p[0], p[1]), rules, c)
+def _replaced(df: DataFrame, col: str, rules: list[tuple[str, str, str | None]]) -> DataFrame:
+    for pattern, to, holds in rules:
+        made = F.regexp_replace(col, pattern, to)
+        df = df.withColumn(col, made if holds is None else F.when(F.contains(col, F.lit(holds)), made).otherwise(F.col(col)))
+    return df
 
 
 def encodings(text: Column) -> dict[str, Column]:
@@ -128,8 +130,8 @@ def _tokens(logs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per text: its tokens with ids masked (x) and with names masked too (m), and what the verdict needs."""
     body = rstrip(F.col(text_col))
     base = logs.select(F.col(id_col).alias("id"), body.alias("text"), source_of().alias("source")).where("text <> ''")
-    masked = base.withColumn("x", _replaced(F.col("text"), _IDS))
-    masked = masked.withColumn("m", _replaced(F.col("x"), _NAMES))
+    masked = _replaced(base.withColumn("x", F.col("text")), "x", _IDS)
+    masked = _replaced(masked.withColumn("m", F.col("x")), "m", _NAMES)
     sizes = encodings(F.col("text"))
     return masked.select(
         "id",
