@@ -17,6 +17,8 @@ RAW_LINE = T.StructType(
         T.StructField("offset", T.LongType()),
         T.StructField("line", T.StringType()),
         T.StructField("discard_bytes", T.LongType()),
+        # what names the file after a rename; null where only its path is known
+        T.StructField("identity", T.StringType()),
     ]
 )
 

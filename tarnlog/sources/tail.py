@@ -178,11 +178,11 @@ class TailReader(DataSourceStreamReader):
             data = f.read(part.end - part.start)
         for offset, text in split_lines(data, part.start):
             if len(text.encode("utf-8", "replace")) > self.max_line:
-                yield part.path, part.generation, offset, None, len(text.encode("utf-8", "replace"))
+                yield part.path, part.generation, offset, None, len(text.encode("utf-8", "replace")), part.key
             else:
-                yield part.path, part.generation, offset, text, None
+                yield part.path, part.generation, offset, text, None, part.key
         if not data.endswith(b"\n"):
-            yield part.path, part.generation, part.start, None, len(data)
+            yield part.path, part.generation, part.start, None, len(data), part.key
 
     def commit(self, end: dict) -> None:
         pass

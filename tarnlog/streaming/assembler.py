@@ -4,7 +4,8 @@ Lines may stand in a container runtime's shell; parts of a split line are kept i
 their end arrives, and join the event as one line.
 
 The open event of a file is kept in the state store; it is emitted when the next head arrives,
-or when the file has been quiet for ``idle_ms``. State and source offsets are committed together,
+or when the file has been quiet for ``idle_ms``, with the part of a split line that waits. A file
+is known by its identity, so an event goes on after a rename. State and source offsets are committed together,
 so an event that was open at a failure is still open after it. The rules are those of
 :mod:`tarnlog.operators.assemble`, and the head of an event is handed on as it was read: the one
 parser of batch and stream takes its fields out of it.
@@ -16,6 +17,7 @@ import re
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -23,6 +25,7 @@ from tarnlog.operators.parsers import head_message
 from tarnlog.operators.shell import CRI_HEAD
 
 _OPEN = [
+    T.StructField("file", T.StringType()),
     T.StructField("generation", T.IntegerType()),
     T.StructField("offset", T.LongType()),
     T.StructField("n_lines", T.IntegerType()),
@@ -31,7 +34,7 @@ _OPEN = [
     T.StructField("stream", T.StringType()),
 ]
 #: ``head`` is the line that opened the event, null for a line without one; ``tail`` what follows.
-EVENT = T.StructType([T.StructField("file", T.StringType()), *_OPEN, T.StructField("shell_time", T.StringType())])
+EVENT = T.StructType([*_OPEN, T.StructField("shell_time", T.StringType())])
 
 
 class Assembler(StatefulProcessor):
@@ -47,26 +50,25 @@ class Assembler(StatefulProcessor):
         self.state = handle.getValueState("open", T.StructType([*_OPEN, *more]))
         self.part = handle.getValueState("part", T.StructType([T.StructField("text", T.StringType())]))
 
-    def _event(self, file: str, s: list) -> Iterator[Row]:
-        generation, offset, n, head, tail, stream, _, lost, size = s
+    def _event(self, s: list) -> Iterator[Row]:
+        file, generation, offset, n, head, tail, stream, _, lost, size = s
         if head is not None:
             if lost:
                 tail = (tail or "") + f"\n... [{self.tag} 截断：省略 {lost} 行 / {size} 字节]"
             yield Row(file=file, generation=generation, offset=offset, n_lines=n, head=head, tail=tail, stream=stream, shell_time=None)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        file = key[0]
         s = list(self.state.get()) if self.state.exists() else None
         part = self.part.get()[0] if self.part.exists() else None
         for r in sorted(rows, key=lambda r: (r["generation"], r["offset"])):
-            generation, offset = r["generation"], r["offset"]
-            if s and s[0] != generation:
-                yield from self._event(file, s)
+            file, generation, offset = r["file"], r["generation"], r["offset"]
+            if s and s[1] != generation:
+                yield from self._event(s)
                 s = None
             if r["discard_bytes"] is not None:
                 # with nothing open, what follows is the rest of a line that is lost
-                s = s or [generation, offset, 0, None, None, None, 0, 0, 0]
-                s[7], s[8] = s[7] + 1, s[8] + r["discard_bytes"]
+                s = s or [file, generation, offset, 0, None, None, None, 0, 0, 0]
+                s[8], s[9] = s[8] + 1, s[9] + r["discard_bytes"]
                 continue
             line, stream, time = r["line"], None, None
             if self.shell == "cri" and self.cri.match(line):
@@ -79,14 +81,14 @@ class Assembler(StatefulProcessor):
             size = len(line.encode())
             if message is not None:
                 if s:
-                    yield from self._event(file, s)
-                s = [generation, offset, 1, line, None, stream, len(message.encode()), 0, 0]
+                    yield from self._event(s)
+                s = [file, generation, offset, 1, line, None, stream, len(message.encode()), 0, 0]
             elif s is None:
                 yield Row(file=file, generation=generation, offset=offset, n_lines=1, head=None, tail=line, stream=stream, shell_time=time)
-            elif s[7] or s[2] >= self.max_lines or s[6] + size >= self.max_bytes:
-                s[7], s[8] = s[7] + 1, s[8] + size + 1
+            elif s[8] or s[3] >= self.max_lines or s[7] + size >= self.max_bytes:
+                s[8], s[9] = s[8] + 1, s[9] + size + 1
             else:
-                s[2], s[4], s[6] = s[2] + 1, (s[4] or "") + "\n" + line, s[6] + 1 + size
+                s[3], s[5], s[7] = s[3] + 1, (s[5] or "") + "\n" + line, s[7] + 1 + size
         if part is None:
             self.part.clear()
         else:
@@ -102,9 +104,16 @@ class Assembler(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self.state.exists():
             s = list(self.state.get())
-            if s[3] is not None:
+            if s[4] is not None:
+                if self.part.exists():
+                    rest = self.part.get()[0]
+                    self.part.clear()
+                    if s[8]:
+                        s[8], s[9] = s[8] + 1, s[9] + len(rest.encode()) + 1
+                    else:
+                        s[3], s[5] = s[3] + 1, (s[5] or "") + "\n" + rest
                 self.state.clear()
-                yield from self._event(key[0], s)
+                yield from self._event(s)
 
     def close(self) -> None:
         pass
@@ -114,6 +123,7 @@ def assemble_stream(
     lines: DataFrame, formats: list[str], pattern: str | None = None, idle_ms: int = 2000, max_lines: int = 500, max_bytes: int = 262_144, shell: str = "raw", tag: str = "tarnlog"
 ) -> DataFrame:
     """Events of a stream of raw lines. Needs the RocksDB state store."""
-    return lines.groupBy("file").transformWithState(
+    identity = F.coalesce("identity", "file") if "identity" in lines.columns else F.col("file")
+    return lines.withColumn("__key", identity).groupBy("__key").transformWithState(
         statefulProcessor=Assembler(formats, pattern, idle_ms, max_lines, max_bytes, tag, shell), outputStructType=EVENT, outputMode="Append", timeMode="ProcessingTime"
     )

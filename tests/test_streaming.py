@@ -232,6 +232,17 @@ def test_stream_and_batch_agree(spark, shell):
         assert show(made) == show(batch)
 
 
+def test_rename_and_waiting_part(spark):
+    rows = [("a.log", 0, 0, f"2024-05-01T10:00:00Z stdout F {HEAD}x", None), ("a.log.1", 0, 90, "2024-05-01T10:00:00Z stdout F more", None), ("a.log.1", 0, 120, "2024-05-01T10:00:00Z stdout P open", None)]
+    made = spark.createDataFrame(rows, "file string, generation int, offset long, line string, discard_bytes long").orderBy("offset").collect()
+    a = Assembler(["logback"], shell="cri")
+    a.init(Handle())
+    assert list(a.handleInputRows(("k",), iter(made), Clock())) == []
+    (event,) = a.handleExpiredTimer(("k",), Clock(), None)
+    assert (event["file"], event["n_lines"], event["tail"]) == ("a.log", 3, "\nmore\nopen")
+    assert list(a.handleExpiredTimer(("k",), Clock(), None)) == []
+
+
 def test_labels_are_asked_for_once(spark):
     from tarnlog.sources.labels import Labels
 
