@@ -26,8 +26,8 @@ from tarnlog.runtime import broadcast_if_small, cut, stored
 
 #: Events of a sequence that a time bucket holds on average.
 BUCKET_ROWS = 20_000
-#: Sequences, and distinct masked texts, that are broadcast at most.
-SEQUENCES_BROADCAST, TEMPLATES_BROADCAST = 100_000, 100_000
+#: Sequences, and distinct masked texts (24 bytes each), that are broadcast at most.
+SEQUENCES_BROADCAST, TEMPLATES_BROADCAST = 100_000, 200_000
 
 
 def collapse(events: DataFrame, least: int = 2, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -74,8 +74,11 @@ def statement_runs(lines: DataFrame, least: int = 2) -> DataFrame:
 
     ``lines`` is read twice: once to learn the statements, once to order the events.
     """
-    known = broadcast_if_small(cut(statements(lines)), "template", TEMPLATES_BROADCAST).withColumnRenamed("template", "template0")
-    events = lines.join(known, F.col("template") == F.col("template0"), "left").select("seq", "ts", "id", F.coalesce("statement", "template").alias("stmt"))
+    keys = lambda c: [F.xxhash64(c).alias("k1"), F.xxhash64(F.lit("second"), c).alias("k2")]
+    # texts stay behind: a text is joined by 128 bits of its hash, a statement is compared by 64
+    known = cut(statements(lines).select(*keys("template"), F.xxhash64("statement").alias("stmt")))
+    narrow = lines.select("seq", "ts", "id", F.col("template").isNull().alias("none"), *keys("template"))
+    events = narrow.join(broadcast_if_small(known, "k1", TEMPLATES_BROADCAST), ["k1", "k2"], "left").select("seq", "ts", "id", F.when(~F.col("none"), F.col("stmt")).alias("stmt"))
     return collapse(events, least)
 
 
