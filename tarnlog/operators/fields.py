@@ -68,8 +68,8 @@ FEW = 20
 KEY_SHARE = 0.5
 #: Time keys rarer than this among the lines of pairs get no role; it bounds the dictionary of keys.
 KEY_LEAST = 1e-4
-#: Distinct heads that a task counts before it hands them on.
-COUNTED_HEADS = 50_000
+#: Distinct heads, and bytes of key sets, that a task counts before it hands them on.
+COUNTED_HEADS, COUNTED_BYTES = 50_000, 16 << 20
 
 #: Names and codes of levels, and the nearest of the six.
 LEVELS = {
@@ -114,6 +114,8 @@ _FORMS = [
 _SEPARATOR = r"(?:[ \t]+[-|:][ \t]?|\||:[ \t]|[ \t]+)?"
 _TOKEN = re.compile("(?:" + "|".join(f"(?P<{k}>{p})" for k, p in _FORMS) + ")" + _SEPARATOR, re.A | re.S)
 _HAS_CLOCK = re.compile(r"[0-9]:[0-9]{2}:[0-9]{2}")
+#: Stand between keys and types in a set; a key that has one gets no role.
+_MARKS = re.compile("[\x02\x03]")
 _SPACES = re.compile(r"[ \t]+")
 _PAIRS = re.compile(r"[A-Za-z_@][\w.@-]*=", re.A)
 #: Escapes are hidden before, so quoted texts of any length need no repeated group.
@@ -155,7 +157,7 @@ def pairs_of(line: str) -> tuple[str, dict[str, object]] | None:
     if line.startswith("{"):
         try:
             found = json.loads(line)
-        except ValueError:
+        except (ValueError, RecursionError):  # nested beyond all bounds
             return None
         return ("json", found) if isinstance(found, dict) and found else None
     if not _PAIRS.match(line):
@@ -300,6 +302,7 @@ def counts(lines: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heads: Counter = Counter()
         sets: Counter = Counter()
+        size = 0
 
         def flush() -> pa.RecordBatch:
             grams: Counter = Counter()
@@ -319,11 +322,14 @@ def counts(lines: DataFrame) -> DataFrame:
         for batch in batches:
             for line in batch.column(0).to_pylist():
                 if (found := pairs_of(line)) is not None:
-                    sets[found[0], "\x03".join(sorted(f"{k}\x02{value_kind(v)}" for k, v in found[1].items()))] += 1
+                    listed = "\x03".join(sorted(f"{k}\x02{value_kind(v)}" for k, v in found[1].items() if not _MARKS.search(k)))
+                    sets[found[0], _clean(listed)] += 1
+                    size += len(listed)
                 elif _HAS_CLOCK.search(line):
                     heads[tuple(tokens_of(line)[0])] += 1
-            if len(heads) + len(sets) > COUNTED_HEADS:
-                yield flush()
+                if len(heads) > COUNTED_HEADS or size > COUNTED_BYTES:
+                    yield flush()
+                    size = 0
         yield flush()
 
     counted = lines.select("line").mapInArrow(run, _COUNTS)
@@ -348,6 +354,8 @@ def learn(lines: DataFrame) -> Dictionary:
 
 def key_roles(sets: DataFrame) -> dict[tuple[str, str], tuple[str, str, str]]:
     """Level, component and message key by (style, time key), from bigrams: (key, type) and (time key, key)."""
+    # an object without keys that count is an empty text
+    sets = sets.where("set <> ''")
     each = sets.select("style", "set", "n", F.explode(F.split("set", "\x03")).alias("p")).select("style", "set", "n", F.split("p", "\x02")[0].alias("key"), F.split("p", "\x02")[1].alias("kind"))
     kinds = each.groupBy("style", "key").pivot("kind", KINDS).agg(F.sum("n")).fillna(0).withColumn("total", F.expr(" + ".join(KINDS)))
     lines = sets.groupBy("style").agg(F.sum("n").alias("lines"))
@@ -483,7 +491,7 @@ def parsed(lines: DataFrame, known: Dictionary) -> DataFrame:
             given = batch.column("line").to_pylist()
             found = [read(line, year) for line, year in zip(given, batch.column("year").to_pylist())]
             none = (None, None, None)
-            cols = zip(*[(f[0], f[1], f[2], _clean(f[3])) if f else (*none, line) for f, line in zip(found, given)]) if found else [()] * 4
+            cols = zip(*[(f[0], f[1], _clean(f[2]), _clean(f[3])) if f else (*none, line) for f, line in zip(found, given)]) if found else [()] * 4
             made = [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.string()))]
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(3)] + made, ["file", "generation", "line_offset", "ms", "level", "component", "piece"])
 

@@ -217,6 +217,8 @@ def test_entries(spark):
         "E0106: rule set is empty",
         '{"ts": 1704308334042, "severity": "NOTICE", "logger": "k", "message": "a\\nb \\u00fc \\ud800"}',
         "{",
+        '{"\\u0002\\u0003": 1, "ts": 1704308334042, "severity": "NOTICE", "logger": "k\\udfff", "message": "odd keys"}',
+        '{"a":' * 5000,
         'time=2024-01-06T03:36:39.112Z msg="say \\"x\\" level=debug" level=err component=w',
         "[GIN] 2024/01/05 - 22:37:36 | 404 |   76.089ms |   10.1.1.1 | GET",
         '10.8.1.2 - bob [07/Jan/2024:00:51:31 +0100] "DELETE /x HTTP/1.1" 204 8 "-" "t"',
@@ -233,10 +235,11 @@ def test_entries(spark):
     assert [tuple(r)[3:7] + (r["message"],) for r in got] == [
         (6, "2024-01-06 02:27:39.152", "DEBUG", "a.router", "hello\n" + "\n".join(lines[n + 1 : n + 6])),
         (2, "2024-01-03 18:58:54.042", "INFO", "k", "a\nb ü \ufffd\n{"),
+        (2, "2024-01-03 18:58:54.042", "INFO", "k\ufffd", "odd keys\n" + lines[n + 9]),
         (1, "2024-01-06 03:36:39.112", "ERROR", "w", 'say "x" level=debug'),
-        (1, "2024-01-05 22:37:36.000", "WARN", "gin", lines[n + 9]),
-        (1, "2024-01-06 23:51:31.000", "INFO", "nginx", lines[n + 10]),
-        (2, "2024-01-06 06:05:40.765", "INFO", "c.d.E", "body\n" + lines[n + 12]),
+        (1, "2024-01-05 22:37:36.000", "WARN", "gin", lines[n + 11]),
+        (1, "2024-01-06 23:51:31.000", "INFO", "nginx", lines[n + 12]),
+        (2, "2024-01-06 06:05:40.765", "INFO", "c.d.E", "body\n" + lines[n + 14]),
         (1, "2024-01-06 11:25:07.651", "FATAL", "r_store.go", "end"),
     ]
     # without a generation, and without a receipt for a time that has no year
