@@ -32,9 +32,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarnlog.functions.text import strip
-from tarnlog.functions.timefmt import DAY_MS, month_number, ntz_ms, offset_minutes, wall_clock, zoned_ms
+from tarnlog.functions.timefmt import DAY_MS, month_number, ntz_ms, offset_minutes, zoned_ms
 from tarnlog.operators.delivery import HOSTS_BROADCAST_ROWS, machine_names
-from tarnlog.runtime import broadcast_if_small, stored
+from tarnlog.runtime import apart, broadcast_if_small, stored
 
 #: Costs of the Viterbi steps.
 SWITCH_COST, BACK_COST, LATE_COST = 1.0, 2.0, 4.0
@@ -121,7 +121,7 @@ def interpretations(rows: DataFrame) -> DataFrame:
         # one match writes all fields in their order, with a mark between them
         parts = F.split(F.regexp_replace(text, pattern, _MARK.join(f"${at[f]}" if f in at else "" for f in _FIELDS)), _MARK)
         got = F.when(F.col("fmt") == _CODE[name], parts) if got is None else got.when(F.col("fmt") == _CODE[name], parts)
-    rows = rows.withColumn("fmt", fmt).withColumn("f", got)
+    rows = apart(rows.withColumn("fmt", fmt).withColumn("f", got))
     f = {k: F.col("f")[i] for i, k in enumerate(_FIELDS)}
     hour = f["h"].try_cast("int")
     hour = F.when(f["half"] == "", hour).when(hour.between(1, 12), hour % 12 + F.when(f["half"] == "PM", 12).otherwise(0))
@@ -134,23 +134,30 @@ def interpretations(rows: DataFrame) -> DataFrame:
         _frac_ms(f["fr"]).alias("frac"),
         f["z"].alias("z"),
     )
+    rows = apart(rows)
     yearless = F.col("fmt").isin(_CODE["short"], _CODE["syslog"])
-    clock = lambda y, mo, d: wall_clock(y, mo, d, F.col("h"), f["mi"], f["s"])
     y, mo, d = F.col("y"), F.col("mo"), F.col("d")
     ry = F.year("received_at")
-    rows = rows.select(
-        "*",
-        clock(F.when(yearless, ry).otherwise(y), mo, d).alias("k0"),
-        F.when(yearless, clock(ry - 1, mo, d)).when(F.col("fmt") == _CODE["dmy"], clock(y, d, mo)).alias("k1"),
-        F.when(yearless, clock(ry + 1, mo, d)).alias("k2"),
+    # days that can be meant, as text: the one printed, and for some notations others
+    day = lambda y, mo, d: F.concat_ws("-", y, mo, d)
+    days = (
+        F.when(yearless, F.array(day(ry, mo, d), day(ry - 1, mo, d), day(ry + 1, mo, d)))
+        .when(F.col("fmt") == _CODE["dmy"], F.array(day(y, mo, d), day(y, d, mo)))
+        .when(F.col("fmt").isNotNull(), F.array(day(y, mo, d)))
     )
+    rows = apart(rows.select("*", days.alias("days"), F.concat_ws(":", F.col("h").cast("string"), f["mi"], f["s"]).alias("clock")))
     # the zone that rules the reading: the text's own, else the host's; offsets need none
     z = F.col("z")
     region = F.regexp_replace(z, r"[\[\]]", "")
     rows = rows.withColumn("zone", F.when(z == "", F.col("tz")).when(z.startswith("[") & region.rlike("/|^UTC$|^GMT$"), region))
     rows = rows.withColumn("shift", F.when(z == "Z", F.lit(0)).when(z.rlike(r"^[+-]"), offset_minutes(z)).when((z != "") & ~z.startswith("["), F.col("minutes")).cast("long"))
-    ms = lambda k: F.when(F.col("zone").isNotNull(), zoned_ms(F.col(k), F.col("zone"))).otherwise(ntz_ms(F.col(k)) - F.col("shift") * 60_000) + F.col("frac")
-    rows = rows.select("*", *[F.when(F.col(k).isNotNull(), ms(k)).alias(k.replace("k", "m")) for k in ("k0", "k1", "k2")])
+    # one lambda for all of them: written out, the code would be too large to be compiled
+
+    def ms(day: Column) -> Column:
+        at = F.concat(day, F.lit(" "), F.col("clock")).try_cast("timestamp_ntz")
+        return F.when(F.col("zone").isNotNull(), zoned_ms(at, F.col("zone"))).otherwise(ntz_ms(at) - F.col("shift") * 60_000) + F.col("frac")
+
+    rows = rows.withColumn("m", F.transform("days", ms))
     number, size = text.rlike(r"^[0-9]+\z"), F.length(text)
     whole = F.when(number & (size <= 18), text.try_cast("long"))
     epoch = (
@@ -161,17 +168,12 @@ def interpretations(rows: DataFrame) -> DataFrame:
         .when(text.rlike(r"^[0-9]{9,10}\.[0-9]{1,9}\z"), F.substring_index(text, ".", 1).try_cast("long") * 1000 + _frac_ms(F.substring_index(text, ".", -1)))
     )
     at = ntz_ms(F.col("received_at"))
-    gap = lambda m: F.coalesce(F.abs(F.col(m) - at), F.lit(1 << 62))
     # the year nearest to the receipt; the earlier one of two
-    nearest = (
-        F.when((gap("m1") <= gap("m0")) & (gap("m1") <= gap("m2")), F.col("m1"))
-        .when(gap("m0") <= gap("m2"), F.col("m0"))
-        .otherwise(F.col("m2"))
-    )
-    one = F.when(yearless, nearest).otherwise(F.col("m0"))
+    nearest = F.array_min(F.transform(F.filter("m", lambda m: m.isNotNull()), lambda m: F.struct(F.abs(m - at).alias("gap"), m.alias("m"))))["m"]
+    one = F.when(yearless, nearest).otherwise(F.try_element_at("m", F.lit(1)))
     made = F.array(
         F.struct(F.col("fmt").alias("fmt"), one.cast("long").alias("ms")),
-        F.struct(F.lit(_MDY).alias("fmt"), F.when(~yearless, F.col("m1")).cast("long").alias("ms")),
+        F.struct(F.lit(_MDY).alias("fmt"), F.when(~yearless, F.try_element_at("m", F.lit(2))).cast("long").alias("ms")),
         F.struct(F.lit(_EPOCH).alias("fmt"), epoch.cast("long").alias("ms")),
     )
     return rows.withColumn("cands", F.filter(made, lambda x: x["ms"].isNotNull()))

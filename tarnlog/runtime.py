@@ -55,6 +55,15 @@ def broadcast_if_small(df: DataFrame, key: str, most: int, most_bytes: int = BRO
     return F.broadcast(df) if n <= most and size <= most_bytes else df
 
 
+def apart(df: DataFrame) -> DataFrame:
+    """End a stage of generated code here, without moving any row.
+
+    A long chain of projections otherwise becomes one method too large for the JVM to compile, which
+    then runs interpreted. Asking for at most more partitions than there are changes none.
+    """
+    return df.coalesce(1 << 20)
+
+
 #: Folders that this process wrote below the shared folder.
 _WRITTEN: list[str] = []
 
