@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnlog.functions.text import rstrip
-from tarnlog.runtime import broadcast_if_small, cut, stored
+from tarnlog.runtime import apart, broadcast_if_small, cut, stored
 
 #: An ending is a cut if fewer than this share of its occurrences end a text ...
 END_SHARE = 0.05
@@ -129,7 +129,7 @@ def _tokens(logs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     body = rstrip(F.col(text_col))
     base = logs.select(F.col(id_col).alias("id"), body.alias("text"), source_of().alias("source")).where("text <> ''")
     masked = base.withColumn("x", _replaced(F.col("text"), _IDS))
-    masked = masked.withColumn("m", _replaced(F.col("x"), _NAMES))
+    masked = apart(masked.withColumn("m", _replaced(F.col("x"), _NAMES)))
     sizes = encodings(F.col("text"))
     return masked.select(
         "id",
