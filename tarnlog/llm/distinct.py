@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from tarnlog.functions.ids import normalise_trace_id
 from tarnlog.operators.delivery import with_machine
+from tarnlog.runtime import apart
 
 #: 2^precision registers a group.
 PRECISION = 14
@@ -118,7 +119,7 @@ def trace_events(logs: DataFrame, hosts: DataFrame) -> DataFrame:
 
 
 def trace_registers(logs: DataFrame, hosts: DataFrame, precision: int = PRECISION) -> DataFrame:
-    return registers(trace_events(logs, hosts), ["day", "service_name", "host"], "trace_id", precision)
+    return registers(apart(trace_events(logs, hosts)), ["day", "service_name", "host"], "trace_id", precision)
 
 
 def distinct_traces(logs: DataFrame, hosts: DataFrame, precision: int = PRECISION) -> DataFrame:
